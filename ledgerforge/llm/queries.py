@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerforge.llm import canonical, spellings, survivor
+from ledgerforge.llm import canonical, leaks, mixing, spellings, survivor, toxic
 from ledgerforge.session import table
 
 
@@ -82,6 +82,50 @@ def p5_classes(spark: SparkSession, d: str) -> DataFrame:
     return c.join(c.groupBy("class").agg((F.count("*") - 1).alias("n_links")), "class").select(F.col("value").alias("spelling"), "class", "n_links")
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    items = canonical.bounded_rows(table(spark, d, "eval_items").select("item_id", "text"), leaks.MOST_ITEMS)
+    return leaks.find_leaks(table(spark, d, "documents"), items)
+
+
+def p6_report(spark: SparkSession, d: str) -> DataFrame:
+    """Leaked items with the documents that carry them, by source."""
+    found = p6_found(spark, d).join(table(spark, d, "documents").select("doc_id", "source"), "doc_id")
+    return found.groupBy("item_id").agg(F.count("*").alias("n_documents"), F.countDistinct("source").alias("n_sources"))
+
+
+def _targets(spark: SparkSession, d: str) -> list[tuple]:
+    return canonical.bounded_rows(table(spark, d, "mix_targets").select("source", "target_share", "max_repeats"), mixing.MOST_SOURCES)
+
+
+def p7_mix(spark: SparkSession, d: str) -> DataFrame:
+    sizes = mixing.sized(table(spark, d, "documents"))
+    return mixing.draw(sizes, mixing.plan_mix(sizes, _targets(spark, d))[0])
+
+
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    """Shares reached by the whole, half and a tenth of the largest budget."""
+    sizes, targets = mixing.sized(table(spark, d, "documents")), _targets(spark, d)
+    return mixing.report(sizes, targets, mixing.plan_mix(sizes, targets, (0.1, 0.5, 1.0)))
+
+
+#: The expectation below which a passage is significant.
+SIGNIFICANT = 0.01
+
+
+def p8_scores(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return toxic.score_documents(docs, *toxic.fit(docs, table(spark, d, "review_labels")))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return p8_scores(spark, d).where(F.col("expectation") <= SIGNIFICANT).select("doc_id")
+
+
+def p8_rates(spark: SparkSession, d: str) -> DataFrame:
+    bad = (F.col("expectation") <= SIGNIFICANT).cast("int")
+    return p8_scores(spark, d).groupBy("source").agg(F.count("*").alias("n_documents"), F.sum(bad).alias("n_bad"), F.round(F.avg(bad), 6).alias("rate"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_survivors": p1_survivors,
@@ -89,6 +133,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_unmatched": p2_unmatched,
     "p5_found": p5_found,
     "p5_classes": p5_classes,
+    "p6_found": p6_found,
+    "p6_report": p6_report,
+    "p7_mix": p7_mix,
+    "p7_report": p7_report,
+    "p8_found": p8_found,
+    "p8_scores": p8_scores,
+    "p8_rates": p8_rates,
 }
 
 SQL: dict[str, str] = {}
