@@ -1,19 +1,12 @@
-"""The catalogue of queries on documents, lines and queues."""
+"""All queries of the core with their SQL."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from ledgerforge.plans import checks, ordered, relations, scalars, streams
+from ledgerforge.plans.registry import Query
 
-from ledgerforge.session import table
-
-
-def footer_proof(spark: SparkSession, d: str) -> DataFrame:
-    lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))), 2).alias("lines_total"))
-    o = table(spark, d, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-    ok = F.abs(F.col("lines_total") - F.col("o_totalprice")) <= F.greatest(F.lit(5.0), F.abs("o_totalprice") * 0.002)
-    return o.select("o_orderkey", "o_totalprice", "lines_total", F.when(ok, "PASS-DEEP").otherwise("REVIEW").alias("status"))
-
-
-QUERIES = {"footer_proof": footer_proof}
+QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+for _module in (scalars, checks, ordered, relations, streams):
+    QUERIES.update(_module.query.queries)
+    SQL.update(_module.query.sql)
