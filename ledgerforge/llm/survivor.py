@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerforge.session import cut
+
 #: Spellings of the confidence of a reading, and its trust.
 CONFIDENCE = {"high": ("high", "tinggi"), "medium": ("medium", "sedang"), "low": ("low", "rendah")}
 TRUST = {"high": 1.0, "medium": 0.6, "low": 0.3}
@@ -52,13 +54,20 @@ def product_words(c: Column) -> Column:
     return F.trim(F.regexp_replace(s, r"(?<=\d )G$", "GR"))
 
 
-def _top(df: DataFrame, by: str, value: str, name: str) -> DataFrame:
-    """The most frequent non-null value of each key, the least among equals."""
-    return df.where(F.col(value).isNotNull() & F.col(by).isNotNull()).groupBy(by, value).agg(F.count("*").alias("n")).groupBy(by).agg(F.max_by(value, F.struct("n", F.hash(value), value)).alias(name))
+#: What is carried along with a row's group.
+CARRIED = ("id", *OWN, "confidence", "updated_at")
+
+
+def _tops(df: DataFrame, by: str, values: dict[str, str]) -> DataFrame:
+    """The most frequent non-null value of several columns for each key, in one aggregation; ties go by the value's hash."""
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("k"), F.col(c).alias("v")) for n, c in values.items()])).alias("x")
+    n = df.where(F.col(by).isNotNull()).select(by, each).where("x.v is not null").groupBy(by, F.col("x.k").alias("k"), F.col("x.v").alias("v")).agg(F.count("*").alias("n"))
+    best = n.groupBy(by, "k").agg(F.max_by("v", F.struct("n", F.xxhash64("v"), "v")).alias("v"))
+    return best.groupBy(by).agg(*[F.max(F.when(F.col("k") == name, F.col("v"))).alias(name) for name in values])
 
 
 def line_groups(po: DataFrame) -> DataFrame:
-    """``po`` with ``group_key``: equal for rows that read the same line of the same order of the same issuer.
+    """The ``CARRIED`` columns of ``po`` with ``group_key``: equal for rows that read the same line of the same order of the same issuer.
 
     The issuer is the one of the document (the code in its folder, else its most
     typed vendor code); the order number is the most typed one of the document,
@@ -69,24 +78,28 @@ def line_groups(po: DataFrame) -> DataFrame:
 
     Defined results: rows without document stand on their own order number, and
     without that alone; rows with nothing to go by get a key of their own;
-    repeated rows share a key. Extra columns are kept.
+    repeated rows share a key. Extra columns are dropped, whatever their names.
+
+    The state is written to the shared folder twice, as every later step looks at the whole of the one before.
     """
-    t = po.withColumn("_po", order_number(F.col("purchase_order_no"))).withColumn("_vc", vendor_code(F.col("vendor_code")))
-    t = t.withColumn("_fc", F.nullif(F.regexp_extract(F.col("folder"), r"/(\d{6,}) - ", 1), F.lit(""))).withColumn("_doc", F.coalesce("document_id", F.concat(F.lit("?"), F.coalesce("_po", F.col("id").cast("string")))))
-    per_doc = _top(t, "_doc", "_po", "_major").join(_top(t, "_doc", "_fc", "_folder"), "_doc", "full").join(_top(t, "_doc", "_vc", "_vendor"), "_doc", "full")
-    t = t.join(per_doc, "_doc", "left")
-    own = F.col("_po").isNotNull() & F.col("_po").rlike(r"^\w{6,}$") & (F.levenshtein("_po", "_major") > 3)
-    t = t.withColumn("_order", F.concat_ws("/", F.coalesce("_folder", "_vendor", F.lit("?")), F.coalesce(F.when(own, F.col("_po")).otherwise(F.col("_major")), F.concat(F.lit("#"), "_doc"))))
-    t = t.withColumn("_words", product_words(F.col("product_name"))).withColumn("_code", F.when(F.trim("product_code").rlike(r"^\d{4,}$"), F.trim("product_code")))
-    names = _top(t, "_words", "_code", "_named")
-    t = t.join(names, "_words", "left").withColumn("_product", F.coalesce("_code", "_named"))
+    t = po.select(
+        *CARRIED, order_number(F.col("purchase_order_no")).alias("_po"), vendor_code(F.col("vendor_code")).alias("_vc"),
+        F.nullif(F.regexp_extract("folder", r"/(\d{6,}) - ", 1), F.lit("")).alias("_fc"), F.col("document_id").alias("_doc"),
+        product_words(F.col("product_name")).alias("_words"), F.when(F.trim("product_code").rlike(r"^\d{4,}$"), F.trim("product_code")).alias("_code"),
+    )
+    t = t.withColumn("_doc", F.coalesce("_doc", F.concat(F.lit("?"), F.coalesce("_po", F.col("id").cast("string")))))
+    t = t.join(_tops(t, "_doc", {"_major": "_po", "_folder": "_fc", "_vendor": "_vc"}), "_doc", "left")
+    own = F.col("_po").rlike(r"^\w{6,}$") & (F.levenshtein("_po", "_major") > 3)
+    number = F.coalesce(F.when(own, F.col("_po")).otherwise(F.col("_major")), F.concat(F.lit("#"), "_doc"))
+    t = cut(t.select(*CARRIED, "_words", "_code", F.concat_ws("/", F.coalesce("_folder", "_vendor", F.lit("?")), number).alias("_order")))
+    t = t.join(_tops(t, "_words", {"_named": "_code"}), "_words", "left").withColumn("_product", F.coalesce("_code", "_named")).drop("_code", "_named")
+    t = cut(t)
     # names that nobody gave a code: the nearest of the same order
     lost = t.where("_product is null").select("_order", "_words").distinct()
     known = t.where("_product is not null").select("_order", F.col("_words").alias("_kw"), F.col("_product").alias("_kp")).distinct()
-    d = F.levenshtein("_words", "_kw", 3)
-    near = lost.join(known, "_order").withColumn("_d", d).where("_d >= 0").groupBy("_order", "_words").agg(F.min_by("_kp", F.struct("_d", "_kp")).alias("_near"))
-    t = t.join(near, ["_order", "_words"], "left").withColumn("_product", F.coalesce("_product", "_near", F.concat(F.lit("~"), "_words"), F.lit("")))
-    # a missing qty
+    near = lost.join(known, "_order").withColumn("_d", F.levenshtein("_words", "_kw", 3)).where("_d >= 0").groupBy("_order", "_words").agg(F.min_by("_kp", F.struct("_d", "_kp")).alias("_near"))
+    t = t.join(near, ["_order", "_words"], "left").withColumn("_product", F.coalesce("_product", "_near", F.concat(F.lit("~"), "_words"), F.lit(""))).drop("_near", "_words")
+    # a missing qty: few rows against the lines of their order and product
     empty = t.where("qty is null").select("id", "_order", "_product", F.col("total").alias("_t"), F.round((F.col("total") + F.coalesce("discount", F.lit(0))) / F.nullif("unit_price", F.lit(0)), 2).alias("_implied"), F.col("unit_price").alias("_u"), F.col("discount").alias("_c"))
     lines = t.where("qty is not null").select("_order", "_product", "qty", F.col("total").alias("_lt"), F.col("unit_price").alias("_lu"), F.col("discount").alias("_lc")).distinct()
     score = F.when(F.col("_implied") == F.col("qty"), 8).otherwise(0) + F.when(F.col("_t") == F.col("_lt"), 4).otherwise(0) + F.when(F.col("_u") == F.col("_lu"), 1).otherwise(0) + F.when((F.col("_c") == F.col("_lc")) & (F.col("_c") > 0), 2).otherwise(0)
@@ -94,8 +107,7 @@ def line_groups(po: DataFrame) -> DataFrame:
     t = t.join(fit, "id", "left")
     # rows whose qty stays unknown meet each other only on the same total
     qty = F.coalesce(F.coalesce("qty", "_qty").cast("string"), F.concat(F.lit("?"), F.coalesce(F.col("total").cast("string"), F.col("id").cast("string"))))
-    keyed = t.withColumn("group_key", F.concat_ws("|", "_order", "_product", qty))
-    return keyed.select(*po.columns, "group_key")
+    return t.select(*CARRIED, F.concat_ws("|", "_order", "_product", qty).alias("group_key"))
 
 
 def survive(
@@ -146,6 +158,6 @@ def reading_votes(half_life_days: float = 30.0) -> Column:
 
 def grouped(po: DataFrame) -> DataFrame:
     """Rows of groups of two or more, with group_key, _first_id and _latest."""
-    rows = line_groups(po)
+    rows = cut(line_groups(po))
     sizes = rows.groupBy("group_key").agg(F.count("*").alias("_n"), F.min("id").alias("_first_id"), F.max("updated_at").alias("_latest")).where("_n > 1").drop("_n")
     return rows.join(sizes, "group_key")
