@@ -12,15 +12,14 @@ from ledgerforge.session import table
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    rows = survivor.grouped(table(spark, d, "po_customer"))
-    fields = {"best": F.lit("row"), "vendor_code": F.when(survivor.vendor_code(F.col("vendor_code")).isNotNull(), F.lit("code"))}
-    won = survivor.survive(rows.withColumn("_k", F.struct("group_key", "_first_id")), "_k", fields, precedence=survivor.reading_order(), keep=("best", "vendor_code"))
+    coded = F.when(survivor.vendor_code(F.col("vendor_code")).isNotNull(), F.lit("code"))
+    rows = survivor.grouped(table(spark, d, "po_customer"), {"first": survivor.reading_order(), "code": coded})
+    won = survivor.survive(rows.withColumn("_k", F.struct("group_key", "_first_id")), "_k", {"best": F.lit("row"), "vendor_code": F.col("code")}, precedence=F.col("first"), keep=("best", "vendor_code"))
     return won.select(F.col("_k._first_id").alias("group_first_id"), "best_id", F.coalesce("vendor_code_id", F.lit(-1)).cast("bigint").alias("vendor_code_id"))
 
 
 def p1_survivors(spark: SparkSession, d: str) -> DataFrame:
     """The row built for each group: each field's value with most trust times recency."""
-    rows = survivor.grouped(table(spark, d, "po_customer"))
     fields = {
         "purchase_order_no": survivor.order_number(F.col("purchase_order_no")),
         "vendor_code": survivor.vendor_code(F.col("vendor_code")),
@@ -29,7 +28,10 @@ def p1_survivors(spark: SparkSession, d: str) -> DataFrame:
         "unit_price": F.col("unit_price"),
         "total": F.col("total"),
     }
-    won = survivor.survive(rows, "group_key", fields, weight=survivor.reading_votes(), precedence=survivor.reading_order())
+    carry = {"first": survivor.reading_order(), "trust": survivor.reading_trust(), "updated": F.col("updated_at"), **{f"f_{n}": c for n, c in fields.items()}}
+    rows = survivor.grouped(table(spark, d, "po_customer"), carry)
+    votes = survivor.decayed(F.col("trust"), F.col("updated"), F.col("_latest"))
+    won = survivor.survive(rows, "group_key", {n: F.col(f"f_{n}") for n in fields}, weight=votes, precedence=F.col("first"))
     return won.select("group_key", *fields, *[f"{c}_id" for c in ("purchase_order_no", "vendor_code", "confidence")])
 
 

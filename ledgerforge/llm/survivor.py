@@ -54,10 +54,6 @@ def product_words(c: Column) -> Column:
     return F.trim(F.regexp_replace(s, r"(?<=\d )G$", "GR"))
 
 
-#: What is carried along with a row's group.
-CARRIED = ("id", *OWN, "confidence", "updated_at")
-
-
 def _tops(df: DataFrame, by: str, values: dict[str, str]) -> DataFrame:
     """The most frequent non-null value of several columns for each key, in one aggregation; ties go by the value's hash."""
     each = F.explode(F.array(*[F.struct(F.lit(n).alias("k"), F.col(c).alias("v")) for n, c in values.items()])).alias("x")
@@ -66,8 +62,8 @@ def _tops(df: DataFrame, by: str, values: dict[str, str]) -> DataFrame:
     return best.groupBy(by).agg(*[F.max(F.when(F.col("k") == name, F.col("v"))).alias(name) for name in values])
 
 
-def line_groups(po: DataFrame) -> DataFrame:
-    """The ``CARRIED`` columns of ``po`` with ``group_key``: equal for rows that read the same line of the same order of the same issuer.
+def line_groups(po: DataFrame, carry: dict[str, Column]) -> DataFrame:
+    """id, the columns of ``carry`` made of ``po``, and ``group_key``: equal for rows that read the same line of the same order of the same issuer.
 
     The issuer is the one of the document (the code in its folder, else its most
     typed vendor code); the order number is the most typed one of the document,
@@ -78,12 +74,12 @@ def line_groups(po: DataFrame) -> DataFrame:
 
     Defined results: rows without document stand on their own order number, and
     without that alone; rows with nothing to go by get a key of their own;
-    repeated rows share a key. Extra columns are dropped, whatever their names.
+    repeated rows share a key. Other columns are dropped, whatever their names: only what is carried is shuffled.
 
     The state is written to the shared folder twice, as every later step looks at the whole of the one before.
     """
     t = po.select(
-        *CARRIED, order_number(F.col("purchase_order_no")).alias("_po"), vendor_code(F.col("vendor_code")).alias("_vc"),
+        "id", *[c.alias(n) for n, c in carry.items()], "qty", "total", "unit_price", "discount", order_number(F.col("purchase_order_no")).alias("_po"), vendor_code(F.col("vendor_code")).alias("_vc"),
         F.nullif(F.regexp_extract("folder", r"/(\d{6,}) - ", 1), F.lit("")).alias("_fc"), F.col("document_id").alias("_doc"),
         product_words(F.col("product_name")).alias("_words"), F.when(F.trim("product_code").rlike(r"^\d{4,}$"), F.trim("product_code")).alias("_code"),
     )
@@ -91,7 +87,7 @@ def line_groups(po: DataFrame) -> DataFrame:
     t = t.join(_tops(t, "_doc", {"_major": "_po", "_folder": "_fc", "_vendor": "_vc"}), "_doc", "left")
     own = F.col("_po").rlike(r"^\w{6,}$") & (F.levenshtein("_po", "_major") > 3)
     number = F.coalesce(F.when(own, F.col("_po")).otherwise(F.col("_major")), F.concat(F.lit("#"), "_doc"))
-    t = cut(t.select(*CARRIED, "_words", "_code", F.concat_ws("/", F.coalesce("_folder", "_vendor", F.lit("?")), number).alias("_order")))
+    t = cut(t.select("id", *carry, "qty", "total", "unit_price", "discount", "_words", "_code", F.concat_ws("/", F.coalesce("_folder", "_vendor", F.lit("?")), number).alias("_order")))
     t = t.join(_tops(t, "_words", {"_named": "_code"}), "_words", "left").withColumn("_product", F.coalesce("_code", "_named")).drop("_code", "_named")
     t = cut(t)
     # names that nobody gave a code: the nearest of the same order
@@ -107,7 +103,7 @@ def line_groups(po: DataFrame) -> DataFrame:
     t = t.join(fit, "id", "left")
     # rows whose qty stays unknown meet each other only on the same total
     qty = F.coalesce(F.coalesce("qty", "_qty").cast("string"), F.concat(F.lit("?"), F.coalesce(F.col("total").cast("string"), F.col("id").cast("string"))))
-    return t.select(*CARRIED, F.concat_ws("|", "_order", "_product", qty).alias("group_key"))
+    return t.select("id", *carry, F.concat_ws("|", "_order", "_product", qty).alias("group_key"))
 
 
 def survive(
@@ -141,23 +137,28 @@ def survive(
 
 
 def reading_order() -> Column:
-    """Which row comes first: by confidence, fewest nulls in the own columns, latest update, smallest id."""
+    """Which row of po_customer comes first: by confidence, fewest nulls in the own columns, latest update, smallest id."""
     level = confidence_level(F.col("confidence"))
     rank = F.when(level == "high", 3).when(level == "medium", 2).when(level == "low", 1).otherwise(0)
     nulls = sum((F.col(c).isNull().cast("int") for c in OWN), F.lit(0))
     return F.struct(rank.alias("a"), (-nulls).alias("b"), F.coalesce(F.col("updated_at").cast("timestamp_ntz"), F.lit("0001-01-01").cast("timestamp_ntz")).alias("c"), (-F.col("id")).alias("d"))
 
 
-def reading_votes(half_life_days: float = 30.0) -> Column:
-    """Trust of the reading times decay with its age; ages count from a fixed day, as only ratios matter within a group."""
+def reading_trust() -> Column:
+    """The trust of a reading of po_customer."""
     level = confidence_level(F.col("confidence"))
-    trust = F.when(level == "high", TRUST["high"]).when(level == "medium", TRUST["medium"]).when(level == "low", TRUST["low"]).otherwise(0.1)
-    age = F.greatest(F.lit(0.0), F.datediff(F.col("_latest"), F.col("updated_at")).cast("double"))
+    return F.when(level == "high", TRUST["high"]).when(level == "medium", TRUST["medium"]).when(level == "low", TRUST["low"]).otherwise(0.1)
+
+
+def decayed(trust: Column, updated: Column, latest: Column, half_life_days: float = 30.0) -> Column:
+    """Trust halved with every half-life that a row is older than the latest of its group; a row without time keeps a hundredth."""
+    age = F.greatest(F.lit(0.0), F.datediff(latest, updated).cast("double"))
     return trust * F.coalesce(F.pow(F.lit(0.5), age / half_life_days), F.lit(0.01))
 
 
-def grouped(po: DataFrame) -> DataFrame:
-    """Rows of groups of two or more, with group_key, _first_id and _latest."""
-    rows = cut(line_groups(po))
-    sizes = rows.groupBy("group_key").agg(F.count("*").alias("_n"), F.min("id").alias("_first_id"), F.max("updated_at").alias("_latest")).where("_n > 1").drop("_n")
+def grouped(po: DataFrame, carry: dict[str, Column]) -> DataFrame:
+    """``line_groups`` of two or more rows, with _first_id and, if ``updated`` is carried, _latest."""
+    rows = cut(line_groups(po, carry))
+    latest = [F.max("updated").alias("_latest")] if "updated" in carry else []
+    sizes = rows.groupBy("group_key").agg(F.count("*").alias("_n"), F.min("id").alias("_first_id"), *latest).where("_n > 1").drop("_n")
     return rows.join(sizes, "group_key")
