@@ -190,7 +190,22 @@ def unit_matcher(entries: list[tuple[str, str | None, str | None]]) -> Callable[
     return match
 
 
-def map_values(values: DataFrame, field: str, matcher: Callable[[str], str]) -> DataFrame:
+class Matcher:
+    """A matcher that is built where it is used: the list travels, the automaton doesn't. kind: issuer or unit."""
+
+    def __init__(self, kind: str, rows: list[tuple]) -> None:
+        self.kind, self.rows, self.made = kind, rows, None
+
+    def __call__(self, value: str) -> str:
+        if self.made is None:
+            self.made = (issuer_matcher if self.kind == "issuer" else unit_matcher)(self.rows)
+        return self.made(value)
+
+    def __getstate__(self) -> dict:
+        return {"kind": self.kind, "rows": self.rows, "made": None}
+
+
+def map_values(values: DataFrame, field: str, matcher: Matcher) -> DataFrame:
     """(field, raw_value, canonical_key) of each distinct non-blank value of the one column of ``values``."""
     col = values.columns[0]
     distinct = values.select(F.col(col).cast("string").alias("raw_value")).where(F.col("raw_value").rlike(r"\S")).distinct()

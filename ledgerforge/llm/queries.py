@@ -43,22 +43,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     po = table(spark, d, "po_customer")
     units = canonical.bounded_rows(table(spark, d, "uon_list").select("uon_code", "uon_name", "uon_name_en"))
     issuers = _issuers(spark, d)
-    return canonical.map_values(po.select("po_issuer"), "po_issuer", _Lazy("issuer", issuers)).unionByName(canonical.map_values(po.select("uon"), "uon", _Lazy("unit", units)))
-
-
-class _Lazy:
-    """A matcher that is built where it is used: the list travels, the automaton doesn't."""
-
-    def __init__(self, kind: str, rows: list[tuple]) -> None:
-        self.kind, self.rows, self.made = kind, rows, None
-
-    def __call__(self, value: str) -> str:
-        if self.made is None:
-            self.made = (canonical.issuer_matcher if self.kind == "issuer" else canonical.unit_matcher)(self.rows)
-        return self.made(value)
-
-    def __getstate__(self) -> dict:
-        return {"kind": self.kind, "rows": self.rows, "made": None}
+    return canonical.map_values(po.select("po_issuer"), "po_issuer", canonical.Matcher("issuer", issuers)).unionByName(canonical.map_values(po.select("uon"), "uon", canonical.Matcher("unit", units)))
 
 
 def p2_unmatched(spark: SparkSession, d: str) -> DataFrame:

@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 
 #: Documented bound of the labelled sample that fits the scores.
 MOST_LABELS = 20_000
+#: The least lambda: below it, in a handful of documents that are mostly abuse, scores would mean nothing.
+LEAST_DECAY = 1.5
 
 # Plain terms of abuse, hate and sexual address, Indonesian and English.
 TERMS = frozenset(
@@ -49,8 +51,9 @@ _SPELLED = re.compile(r"(?<![^\W_])[^\W_](?:([.\-_·•'/|+~ ])[^\W_])(?:\1[^\W_
 _HIDDEN = re.compile("[\u00ad\u200b-\u200f\u2060-\u2064\ufeff]")
 _LEET = str.maketrans("013457@$!8", "oieastasib")
 _LEET_DIGITS = str.maketrans("013457@$8", "oieastasb")
-_RUN = re.compile(r"(.)\1+")
-_CODE = re.compile(r"\[\d\d:\d\d\]|(?<![^\W_])[a-z]{2,4}-\d{3,}(?![^\W_])")
+_RUN = re.compile(r"([^\W_])\1+")
+_TIME = re.compile(r"\[\d\d:\d\d\]")
+_CODE = re.compile(r"(?<![^\W_])[a-z]{2,4}-\d{3,}(?![^\W_])")
 _LOOKALIKE = str.maketrans("аеорсухіѕԁ", "aeopcyxisd")
 
 
@@ -78,6 +81,7 @@ def _word(w: str) -> str:
     if letters < 2 or letters * 2 < len(w):
         return "#"
     if "*" in w or "#" in w or "!" in w:
+        w = _RUN.sub(r"\1", w)
         mask = re.compile("".join("." if c in "*#" else "[il]" if c == "!" else re.escape(c) for c in w.translate(_LEET_DIGITS)))
         for t in _BY_SIZE.get(len(w), ()):
             if mask.fullmatch(t):
@@ -93,7 +97,7 @@ def tokens(text: str) -> list[str]:
     s = _HIDDEN.sub("", unicodedata.normalize("NFKC", text)).lower()
     if not s.isascii():
         s = "".join(c for c in unicodedata.normalize("NFD", s.translate(_LOOKALIKE)) if not unicodedata.combining(c))
-    s = _SPELLED.sub(lambda m: m[0].replace(m[1], "") if any(c.isalpha() for c in m[0]) else m[0], _CODE.sub(" 0 ", s))
+    s = _SPELLED.sub(lambda m: m[0].replace(m[1], "") if any(c.isalpha() for c in m[0]) else m[0], _CODE.sub(" 0 ", _TIME.sub(" ", s)))
     return [_word(w) for w in _WORD.findall(s)]
 
 
@@ -186,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, strength: float = 10.0, least: int =
         k, _ = total.get(g, (0, 0))
         share = (k + 0.5) / (n_docs + 1.0)
         b, rest = known.get(g, 0), max(k - known.get(g, 0), 0)
-        if (g in _PLAIN or g in _PAIRS) and share < rare:
+        if (g in _PLAIN or g in _PAIRS) and k < max(rare * n_docs, 5):
             # the prior of a listed term that the corpus hardly uses outweighs any count
             table[g] = top
             continue
@@ -201,12 +205,12 @@ def fit(docs: DataFrame, labels: DataFrame, strength: float = 10.0, least: int =
 
 
 def _decay(steps: list[tuple[float, float]], drift: float) -> float:
-    """lambda > 0 with the sum of p exp(lambda s) equal to 1, the rest of the words scoring -drift."""
+    """lambda > 0 with the sum of p exp(lambda s) equal to 1, the rest of the words scoring -drift; at least ``LEAST_DECAY``."""
     rest = max(1e-9, 1.0 - sum(p for p, _ in steps))
     value = lambda x: rest * math.exp(-x * drift) + sum(p * math.exp(x * s) for p, s in steps)
     if not steps or value(8.0) < 1:
         return 8.0
-    lo, hi = 1e-6, 8.0
+    lo, hi = LEAST_DECAY, 8.0
     for _ in range(80):
         mid = (lo + hi) / 2
         lo, hi = (mid, hi) if value(mid) < 1 else (lo, mid)
