@@ -74,7 +74,7 @@ def _number(text: str) -> float:
 
 def unmisread(text: str) -> str:
     """Upper case, with letters read for digits put right where only a digit can stand."""
-    s = re.sub(r"(?<![A-Za-z])[lI](?=[\dO]|[.,]\d)|(?<=\d)[lI](?=[\dO]|\s*[xX*/])", "1", text)
+    s = re.sub(r"(?<![A-Za-z])[lI](?=[\dO]|[.,/]\d)|(?<=\d)[lI](?=[\dO]|\s*[xX*/])", "1", text)
     s = re.sub(rf"(?<![A-Za-z])[lI](?=\s*(?:[xX*]\s*\d|(?i:{_MEASURE}|BOX|PAK|PCS|CTN)(?![A-Za-z])))", "1", s)
     s = re.sub(r"(?<=[\dS]\s[xX*]\s)[lI](?![A-Za-z])|(?<=\d[xX*])[lI](?![A-Za-z])|(?<=@)[lI](?![A-Za-z])", "1", s)
     s = re.sub(r"(?<=\d)[Oo](?!NS|ns)|(?<![A-Za-z])O(?=[\d.,]\d)|(?<=\d[xX*])O(?=[\d.,])", "0", s)

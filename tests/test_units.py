@@ -48,6 +48,7 @@ def test_segmentation_is_the_optimum(values, penalty):
         ("BONAXA TEPUNG BERAS BLACK 04 LUSIN: 6 BOX X 12 PCS @ 150gram", ("g", 150, 72, 12, "12")),
         ("36 X l ONS / PCS", ("g", 100, 36, 0, "pcs")),
         ("TANEXI BERAS CURAH ons", ("g", 0, 0, 0, "#100")),
+        ("6 BOX X 12 PCS @ l/4 L", ("ml", 250, 72, 12, None)),
         ("lihat lampiran", (None, 0, 0, 0, None)),
         ("", (None, 0, 0, 0, None)),
     ],
