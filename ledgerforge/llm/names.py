@@ -156,6 +156,11 @@ def _short_fits(short: str, full: str) -> int:
     return words_fit(short, full) if len(short) > 2 else 2
 
 
+def _both_short(a: str, b: str) -> int:
+    """0 if two cut words are equal, 1 if one begins the other, else 2."""
+    return 0 if a == b else 1 if a.startswith(b) or b.startswith(a) else 2
+
+
 def core_distance(a: Name, b: Name) -> int:
     """Edits between the naming words in the better of both orders, at most one a word; 3 if the names don't fit.
 
@@ -165,7 +170,7 @@ def core_distance(a: Name, b: Name) -> int:
     for x, xs in ((a.words, a.short), (a.words[::-1], a.short[::-1])):
         if len(x) == len(b.words) == 2:
             each = [
-                (0 if p == q else 2) if ps and qs and min(len(p), len(q)) < 3 else _short_fits(p, q) if ps else _short_fits(q, p) if qs else words_fit(p, q)
+                _both_short(p, q) if ps and qs and min(len(p), len(q)) < 3 else _short_fits(p, q) if ps else _short_fits(q, p) if qs else words_fit(p, q)
                 for p, ps, q, qs in zip(x, xs, b.words, b.short)
             ]
             if max(each) < 2:
