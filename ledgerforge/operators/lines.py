@@ -51,7 +51,11 @@ class Layout:
 #: Layouts of printed tables: number, code, name, quantity, unit, price, total.
 LAYOUTS = (
     Layout("code-name-qty-unit", 10, r"(?m)^(NO ITEM QTY|No Kode|Line SKU)", r"^(\d+) (\d{6,14}) (.+?) ([\d.,]+) ([A-Z]{2,5}) ([\d.,]+) ([\d.,]+)$", {"no": 1, "code": 2, "name": 3, "qty": 4, "unit": 5, "price": 6, "total": 7}),
+    Layout("piped", 12, r"(?m)^\|? *(NO|No) *\|", r"^\| *(\d+) *\| *(\d{6,14}) *\| *([^|]+?) *\| *([\d.,]+) *\| *([A-Z]{2,6}) *\| *([\d.,]+) *\| *([\d.,]+) *\|?$", {"no": 1, "code": 2, "name": 3, "qty": 4, "unit": 5, "price": 6, "total": 7}),
+    Layout("barcode", 14, r"(?m)^BARCODE ", r"^(\d{13}) (.+?) ([\d.,]+) ([A-Z]{2,6}) ([\d.,]+) ([\d.,]+) ([\d.,]+)$", {"code": 1, "name": 2, "qty": 3, "unit": 4, "price": 5, "discount": 6, "total": 7}, ("qty", "price", "discount", "total")),
+    Layout("unit-slash", 16, r"(?m)^(SKU|PLU) ", r"^(\d{6,14}) (.+?) (\d+)/([A-Z]{2,6}) ([\d.,]+) ([\d.,]+)$", {"code": 1, "name": 2, "qty": 3, "unit": 4, "price": 5, "total": 6}),
     Layout("code-name-qty", 20, r"(?m)^(NO ITEM|No Kode|Line SKU)", r"^(\d+) (\d{6,14}) (.+?) (\d+) ([\d.,]+) ([\d.,]+)$", {"no": 1, "code": 2, "name": 3, "qty": 4, "price": 5, "total": 6}),
+    Layout("received", 30, r"(?m)^(RECEIVING NOTE|TANDA TERIMA|BUKTI PENERIMAAN BARANG)", r"^(\d+) (\d{6,14}) (.+?) ([\d.,]+) ([A-Z]{2,5})$", {"no": 1, "code": 2, "name": 3, "qty": 4, "unit": 5}),
 )
 
 

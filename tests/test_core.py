@@ -13,7 +13,7 @@ from ledgerforge.functions.dates import parse_date
 from ledgerforge.functions.money import format_id, parse_money
 from ledgerforge.functions.status import add_tag
 from ledgerforge.functions.text import page_text, sniff_content
-from ledgerforge.operators import audit, external, gates, learn, lines, merge, windows
+from ledgerforge.operators import audit, blocks, external, gates, learn, lines, merge, windows
 from ledgerforge.plans import catalogue
 from ledgerforge.plans.pipeline import map_documents
 from ledgerforge.sources import files
@@ -156,6 +156,71 @@ def test_render_and_parse(spark):
         assert (g.total.astype(float) == g.qty.astype(float) * g.price.astype(float)).all()
 
 
+STYLES = {
+    "piped": lambda r: "\n".join(["NO | KODE | NAMA", *(f"| {i} | {c} | {n} | {q} | CTN | {p:,.2f} | {q * p:,.2f} |" for i, (c, n, q, p) in enumerate(r, 1))]),
+    "barcode": lambda r: "\n".join(["BARCODE NAMA QTY", *(f"899{c:0>10} {n} {q} CTN {p:,.2f} 0.00 {q * p:,.2f}" for c, n, q, p in r)]),
+    "unit-slash": lambda r: "\n".join(["SKU NAMA QTY", *(f"{c} {n} {q}/CTN {p:,.2f} {q * p:,.2f}" for c, n, q, p in r)]),
+    "code-name-qty": lambda r: "\n".join(["NO ITEM QTY HARGA TOTAL", *(f"{i} {c} {n} {q} {p:,.2f} {q * p:,.2f}" for i, (c, n, q, p) in enumerate(r, 1))]),
+    "received": lambda r: "\n".join(["RECEIVING NOTE", *(f"{i} {c} {n} {q} CTN" for i, (c, n, q, p) in enumerate(r, 1))]),
+}
+BLOCK_STYLES = {
+    "number-code-name": lambda r: "\n".join(["ITEM LIST", *(f"{i}\n{c}\n{n}\n{q} CTN\n{p:,.2f}\n{q * p:,.2f}" for i, (c, n, q, p) in enumerate(r, 1)), "Total 1"]),
+    "position-name": lambda r: "\n".join(["POS ITEM", *(f"00{i}0 {c}\n{n}\n{q} CTN {p:,.2f} {q * p:,.2f}" for i, (c, n, q, p) in enumerate(r, 1)), "Grand Total 1"]),
+}
+
+
+def test_every_layout_round_trip(spark):
+    rows = [(f"10{i:05d}", f"ITEM {'ABCDEFGH'[i]} KIKIR", i + 1, 1000 + 37 * i) for i in range(8)]
+    pages = spark.createDataFrame([(k, f(rows)) for k, f in STYLES.items()], "doc_id string, text string")
+    got = lines.parse_layouts(pages, ["doc_id"]).toPandas()
+    for k in STYLES:
+        g = got[got.doc_id == k].sort_values("line_no")
+        assert set(g.layout) == {k} and [(n, int(q)) for n, q in zip(g.name, g.qty)] == [(n, q) for _, n, q, _ in rows]
+        if k != "received":
+            assert (g.total.astype(float) == [q * p for *_, q, p in rows]).all()
+    pages = spark.createDataFrame([(k, f(rows)) for k, f in BLOCK_STYLES.items()] + [("none", "x"), ("null", None)], "doc_id string, text string")
+    got = blocks.parse_blocks(pages, ["doc_id"]).toPandas()
+    for k in BLOCK_STYLES:
+        g = got[got.doc_id == k].sort_values("block_no")
+        assert [(c, n, int(q), int(p)) for c, n, q, p in zip(g.code, g.name, g.qty, g.price)] == rows
+    assert set(got.doc_id) == set(BLOCK_STYLES)
+    broken = BLOCK_STYLES["position-name"](rows).replace("1,000.00 1,000.00", "1,000.00 9,000.00")
+    assert blocks.parse_blocks(spark.createDataFrame([("b", broken)], "doc_id string, text string"), ["doc_id"]).count() == 7
+
+
+def test_tax_invoice(spark):
+    text = "Kode dan Nomor Seri Faktur Pajak: 010.002-25.12345678\nNPWP : 01.234.567.8-901.000\n1\n300.000,00\nSISIR BLACK\nRp 100.000,00 x 3,00\nPotongan Harga = Rp 5.000,00\n2\n50.000,00 KIKIR\nRp 25.000,00 x 2,00\n3\n9,00\nSALAH\nRp 1,00 x 2,00\nDasar Pengenaan Pajak 345.000,00\nTotal PPN 37.950,00\nKOTA, 7 Agustus 2025\n(Referensi: SOR2500001)"
+    docs = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id int, text string")
+    got = [(r.name, float(r.price), float(r.qty), float(r.discount), float(r.amount), r.status) for r in blocks.tax_invoice_items(docs, ["doc_id"]).orderBy("line_no").collect()]
+    assert got == [("SISIR BLACK", 100000, 3, 5000, 300000, "PASS"), ("KIKIR", 25000, 2, 0, 50000, "PASS"), ("SALAH", 1, 2, 0, 9, "MISMATCH")]
+    h = blocks.tax_header(docs, ["doc_id"]).orderBy("doc_id").collect()
+    assert (h[0].serial, float(h[0].base), float(h[0].tax), h[0].date, h[0].seller_id) == ("010.002-25.12345678", 345000, 37950, "7 Agustus 2025", "12345678901000")
+    assert h[1].serial is None and h[2].base is None
+
+
+def test_invoice_lines(spark):
+    text = "FAKTUR PENJUALAN\n1000229 TIQURO SPONS 14/6 20.050 48.120 0 0 0 0 232.580\nLEMBUT BESAR\n1000230 SISIR 2/0 1.000 0 0 0 0 0 2.000\nTOTAL 234.580"
+    got = blocks.invoice_lines(spark.createDataFrame([(1, text)], "doc_id int, text string"), ["doc_id"]).orderBy("code").collect()
+    assert [(r.code, r.name, r.cartons, r.pieces, float(r.price), float(r.disc_1), float(r.amount)) for r in got] == [("1000229", "TIQURO SPONS LEMBUT BESAR", 14, 6, 20050, 48120, 232580), ("1000230", "SISIR", 2, 0, 1000, 0, 2000)]
+
+
+def test_children_and_envelope(spark, sf):
+    r = spark.createDataFrame([("a", "X", 1, 2), ("a", "Y", 3, 3)], "doc string, label string, start_page int, end_page int")
+    p = spark.createDataFrame([("a", i) for i in (1, 2, 3)] + [("b", 1)], "doc string, page int")
+    assert sorted((x.label, x.page) for x in blocks.children(r, p, "doc").collect()) == [("X", 1), ("X", 2), ("Y", 3)]
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(5)
+    sent = [json.loads(x[0]) for x in docs.select(blocks.envelope(docs)).collect()]
+    assert all(s["schema_version"] == "1" and len(s["task_id"]) == 32 for s in sent) and len({s["task_id"] for s in sent}) == 5
+
+
+def test_uploads(spark):
+    import base64
+
+    rows = [("a.txt", base64.b64encode(b"halo").decode()), ("b.png", base64.b64encode(b"\x89PNG\r\n\x1a\n0000").decode()), ("c.txt", "%%%")]
+    got = {r.filename: (r.mime, r.size) for r in files.from_base64(spark.createDataFrame(rows, "name string, data_b64 string")).collect()}
+    assert got == {"a.txt": ("text/plain", 4), "b.png": ("image/png", 12), "c.txt": ("text/plain", None)}
+
+
 def test_tokenizer_and_glued():
     assert lines.read_item("1 1000385 VEVULO SISIR BLACK 3 CTN 939,600.00 2,818,800.00") == ("1000385", "VEVULO SISIR BLACK", 3, 939600.0, 2818800.0)
     assert lines.read_item("Grand Total 2,818,800.00") is None
