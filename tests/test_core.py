@@ -14,7 +14,7 @@ from ledgerforge.functions.money import format_id, parse_money
 from ledgerforge.functions.status import add_tag
 from ledgerforge.functions.text import page_text, sniff_content
 from ledgerforge.operators import audit, blocks, external, gates, learn, lines, merge, windows
-from ledgerforge.plans import catalogue
+from ledgerforge.plans import catalogue, generic
 from ledgerforge.plans.pipeline import map_documents
 from ledgerforge.sources import files
 from ledgerforge.sources.store import Store, dump_json, export_csv
@@ -58,6 +58,11 @@ def test_query_against_sql(spark, sf, con, name):
         assert table(got) == table(want)
 
 
+def test_objects_against_sql(spark, sf, con):
+    got = generic.QUERIES["p4_found"](spark, sf).toPandas()
+    assert table(got) == table(con.sql(generic.SQL["p4_found"]).df()) and len(got) > 100
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
