@@ -209,6 +209,8 @@ def map_values(values: DataFrame, field: str, matcher: Matcher) -> DataFrame:
     """(field, raw_value, canonical_key) of each distinct non-blank value of the one column of ``values``."""
     col = values.columns[0]
     distinct = values.select(F.col(col).cast("string").alias("raw_value")).where(F.col("raw_value").rlike(r"\S")).distinct()
+    # few bytes but much work a value: spread them, as they would be coalesced by size
+    distinct = distinct.repartition(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
