@@ -217,12 +217,25 @@ def find_leaks(docs: DataFrame, items: list[tuple[int, str]], id_col: str = "doc
             made.append(Index(*args))
         index = made[0]
         for pdf in batches:
-            for k in range(0, len(pdf), 500):
-                yield scan(pdf["doc_id"].iloc[k : k + 500].tolist(), pdf["text"].iloc[k : k + 500].tolist(), index)
+            ids, texts = pdf["doc_id"].tolist(), pdf["text"].tolist()
+            for a, b in portions([len(t) for t in texts]):
+                yield scan(ids[a:b], texts[a:b], index)
 
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null and text is not null").mapInPandas(run, "doc_id bigint, item_id bigint")
 
 
+def portions(sizes: list[int], most: int = 1_000_000) -> Iterator[tuple[int, int]]:
+    """Runs of neighbours of about ``most`` characters: what is worked on at once is bounded, but for one text longer than that."""
+    a = total = 0
+    for i, n in enumerate(sizes):
+        if i > a and total + n > most:
+            yield a, i
+            a, total = i, 0
+        total += n
+    if a < len(sizes):
+        yield a, len(sizes)
+
+
 def scan(ids: list[int], texts: list[str], index: Index) -> pd.DataFrame:
     """Leaks of some documents: their windows are hashed together, those across two documents dropped."""
     words = [words_of(t) for t in texts]
