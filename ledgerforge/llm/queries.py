@@ -129,4 +129,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p8_rates": p8_rates,
 }
 
-SQL: dict[str, str] = {}
+def _words_sql() -> str:
+    s = "regexp_replace(upper(product_name), '[^A-Z0-9]+', ' ', 'g')"
+    for digit, letter in (("4", "A"), ("0", "O"), ("1", "I"), ("5", "S"), ("8", "B"), ("6", "G")):
+        s = rf"regexp_replace(regexp_replace({s}, '([A-Z]){digit}', '\1{letter}', 'g'), '{digit}([A-Z][A-Z])', '{letter}\1', 'g')"
+    return rf"trim(regexp_replace({s}, '(\d )G$', '\1GR'))"
+
+
+_RANK = "CASE lower(trim(confidence)) WHEN 'high' THEN 3 WHEN 'tinggi' THEN 3 WHEN 'medium' THEN 2 WHEN 'sedang' THEN 2 WHEN 'low' THEN 1 WHEN 'rendah' THEN 1 ELSE 0 END"
+_NULLS = " + ".join(f"({c} IS NULL)::INT" for c in survivor.OWN)
+
+SQL: dict[str, str] = {
+    "p1_found": rf"""
+WITH n AS (SELECT *, nullif(translate(regexp_replace(regexp_replace(regexp_replace(regexp_replace(upper(trim(purchase_order_no)), '\.0$', ''), '^.*:', ''), '[^A-Z0-9]', '', 'g'), '^PO(.{{6}})', '\1'), 'OILSBZGQ', '01158269'), '') AS po,
+  regexp_replace(regexp_replace(regexp_replace(upper(trim(vendor_code)), '^.*:', ''), '\.0$', ''), '\s', '', 'g') AS v, nullif(regexp_extract(folder, '/(\d{{6,}}) - ', 1), '') AS fc, {_words_sql()} AS words,
+  CASE WHEN regexp_matches(trim(product_code), '^\d{{4,}}$') THEN trim(product_code) END AS code FROM po_customer),
+b AS (SELECT *, CASE WHEN regexp_matches(v, '^\d+$') AND NOT regexp_matches(v, '^0+$') THEN v END AS vc, coalesce(document_id, '?' || coalesce(po, CAST(id AS VARCHAR))) AS doc FROM n),
+d AS (SELECT doc, mode(po) AS major, mode(fc) AS folder_code, mode(vc) AS vendor FROM b GROUP BY doc),
+o AS (SELECT b.*, coalesce(folder_code, vendor, '?') || '/' || coalesce(CASE WHEN regexp_matches(po, '^\w{{6,}}$') AND levenshtein(po, major) > 3 THEN po ELSE major END, '#' || doc) AS ord FROM b JOIN d USING (doc)),
+nm AS (SELECT words, mode(code) AS named FROM o WHERE code IS NOT NULL GROUP BY words),
+p AS (SELECT o.*, coalesce(code, named) AS product FROM o LEFT JOIN nm USING (words)),
+near AS (SELECT x.ord, x.words, arg_min(y.product, levenshtein(x.words, y.words)) AS near FROM (SELECT DISTINCT ord, words FROM p WHERE product IS NULL) x JOIN (SELECT DISTINCT ord, words, product FROM p WHERE product IS NOT NULL) y
+  ON x.ord = y.ord AND levenshtein(x.words, y.words) <= 3 GROUP BY 1, 2),
+q AS (SELECT p.* EXCLUDE (product), coalesce(product, near, '~' || p.words, '') AS product FROM p LEFT JOIN near ON near.ord = p.ord AND near.words = p.words),
+l AS (SELECT DISTINCT ord, product, qty, total, unit_price, discount FROM q WHERE qty IS NOT NULL),
+s AS (SELECT e.id, l.qty, max(CASE WHEN round((e.total + coalesce(e.discount, 0))::DECIMAL(28,6) / nullif(e.unit_price, 0), 2) = l.qty THEN 8 ELSE 0 END + CASE WHEN e.total = l.total THEN 4 ELSE 0 END + CASE WHEN e.unit_price = l.unit_price THEN 1 ELSE 0 END
+  + CASE WHEN e.discount = l.discount AND e.discount > 0 THEN 2 ELSE 0 END) AS sc FROM q e JOIN l ON e.qty IS NULL AND e.ord = l.ord AND e.product = l.product GROUP BY 1, 2),
+f AS (SELECT id, arg_max(qty, struct_pack(sc := sc, qty := qty)) AS fq FROM s GROUP BY id HAVING count(*) = 1 OR max(sc) > 1),
+g AS (SELECT q.*, ord || '|' || product || '|' || coalesce(CAST(coalesce(qty, fq) AS VARCHAR), '?' || coalesce(CAST(total AS VARCHAR), CAST(q.id AS VARCHAR))) AS grp FROM q LEFT JOIN f USING (id)),
+r AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY {_RANK} DESC, {_NULLS}, coalesce(updated_at, TIMESTAMP '0001-01-01') DESC, id) AS k, count(*) OVER (PARTITION BY grp) AS m FROM g)
+SELECT min(id) AS group_first_id, max(CASE WHEN k = 1 THEN id END) AS best_id, CAST(coalesce(arg_min(CASE WHEN vc IS NOT NULL THEN id END, CASE WHEN vc IS NOT NULL THEN k END), -1) AS BIGINT) AS vendor_code_id FROM r WHERE m > 1 GROUP BY grp""",
+}

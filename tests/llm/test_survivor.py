@@ -95,3 +95,15 @@ def test_whole_table_against_brute_force(spark, sf):
     assert set(found.group_first_id) == set(big)
     assert all(b in big[f] and (v == -1 or v in big[f]) for f, b, v in found.itertuples(index=False))
     assert len(queries.p1_survivors(spark, sf).collect()) == len(big)
+
+
+def test_against_sql(spark, sf):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"create view po_customer as select * from read_parquet('{sf}/po_customer.parquet')")
+    want = sorted(con.sql(queries.SQL["p1_found"]).fetchall())
+    got = sorted(tuple(r) for r in queries.p1_found(spark, sf).select("group_first_id", "best_id", "vendor_code_id").collect())
+    order = ["group_first_id", "best_id", "vendor_code_id"]
+    assert con.sql(queries.SQL["p1_found"]).columns == order
+    assert got == want

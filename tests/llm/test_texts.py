@@ -66,6 +66,11 @@ def test_number_formats_and_words():
     assert leaks.words_of("") == []
 
 
+def test_portions():
+    assert list(leaks.portions([])) == []
+    assert list(leaks.portions([5, 5, 5, 100, 1, 1], 10)) == [(0, 2), (2, 3), (3, 4), (4, 6)]
+
+
 def test_leak_edges(spark):
     w = [f"kata{c}" for c in "abcdefghijklmnopqrst"]
     items = [(1, " ".join(w)), (2, ""), (3, None), (4, "dua kata"), (5, " ".join(w))]
@@ -138,7 +143,7 @@ def test_mix_edges(spark):
     same = sizes(spark, [(i, "a", 10, 77) for i in range(20)] + [(99, "a", 0, 5), (100, "b", 10, 1)])
     p = mixing.plan_mix(same, [("a", 0.5, 1), ("b", 0.5, 2)])[0]
     assert p.budget == 40 and drawn(same, p) in ({100: 2}, {**{i: 1 for i in range(20)}, 100: 2})  # equal hashes go together
-    docs = spark.createDataFrame([(1, "a", None), (2, "a", ""), (3, None, "x"), (4, "a", "Halo dunia 123")], "doc_id bigint, source string, text string")
+    docs = spark.createDataFrame([(1, "a", None), (2, "a", ""), (3, None, "x"), (4, "a", "Halo dunia 123")], "doc_id bigint, source string, text string").withColumn("h", F.lit("clash")).withColumn("n_tokens", F.lit(-1))
     assert {r.doc_id: r.n_tokens > 0 for r in mixing.token_sizes(docs).collect()} == {1: False, 2: False, 4: True}
 
 
