@@ -260,7 +260,7 @@ def page_rows(spark: SparkSession, d: str) -> DataFrame:
     """One page of the rows by total, with the number of all rows."""
     po = table(spark, d, "po_customer").select("id", "purchase_order_no", "total")
     page = po.orderBy(F.desc_nulls_last("total"), "id").offset(100).limit(50)
-    return page.join(F.broadcast(po.agg(F.count("*").alias("n_all"))), F.lit(True))
+    return page.withColumn("n_all", po.agg(F.count("*")).scalar())
 
 
 @query(f"""WITH {TASKS} SELECT t.document_id, t.status, d.created FROM tasks t JOIN documents d ON d.id = t.document_id WHERE t.status IN ('review', 'failed') ORDER BY d.created DESC NULLS LAST, t.document_id LIMIT 100""")
