@@ -68,7 +68,14 @@ def parse_layouts(pages: DataFrame, keys: list[str], layouts: tuple[Layout, ...]
     gated = pages.select(*keys, F.array(*[F.col(text).rlike(r.gate) for r in layouts]).alias("_gates"), F.col(text).alias("text"))
     lines = gated.select(*keys, "_gates", F.posexplode(F.split("text", r"\r\n|\r|\n")).alias("line_no", "line")).withColumn("line_no", F.col("line_no") + 1)
     names = list(dict.fromkeys(n for r in layouts for n in r.columns))
-    hit = F.array(*[F.when(F.col("_gates")[i] & F.col("line").rlike(r.line), F.struct(F.lit(r.priority).alias("priority"), F.lit(r.name).alias("layout"), *[(F.regexp_extract("line", r.line, r.columns[n]) if n in r.columns else F.lit(None).cast("string")).alias(n) for n in names])) for i, r in enumerate(layouts)])
+    def match(i: int, r: Layout) -> Column:
+        """The row of a line under one rule. All groups come out of one more run of the pattern, not one each."""
+        size = max(r.columns.values())
+        parts = F.split(F.regexp_replace("line", r.line, "\u0001".join(f"${g}" for g in range(1, size + 1))), "\u0001")
+        row = lambda g: F.struct(F.lit(r.priority).alias("priority"), F.lit(r.name).alias("layout"), *[(g[r.columns[n] - 1] if n in r.columns else F.lit(None).cast("string")).alias(n) for n in names])
+        return F.when(F.col("_gates")[i] & F.col("line").rlike(r.line), F.transform(F.array(parts), row)[0])
+
+    hit = F.array(*[match(i, r) for i, r in enumerate(layouts)])
     found = lines.select(*keys, "line_no", F.explode(F.filter(hit, lambda x: x.isNotNull())).alias("r"))
     won = found.withColumn("_least", F.min("r.priority").over(W.partitionBy(*keys))).where("r.priority = _least")
     amounts = {n for r in layouts for n in r.amounts}
