@@ -21,11 +21,11 @@ from ledgerforge.functions.money import parse_money
 
 def explode_pages(docs: DataFrame, doc: str = "doc_id", json: str = "standard_json") -> DataFrame:
     """(doc, page, text) of the pages of a document's JSON; nothing for null or damaged JSON and null elements."""
-    body = F.col(json)
-    body = F.when(F.try_parse_json(body).isNotNull(), body)
-    inner = F.when(body.startswith('"'), F.from_json(F.concat(F.lit('{"v":'), body, F.lit("}")), "v string")["v"]).otherwise(body)
-    pages = F.from_json(inner, "pages array<struct<page:int,text:string,error:string>>")["pages"]
-    return docs.select(doc, F.posexplode(pages).alias("pos", "p")).where("p is not null").select(doc, F.coalesce("p.page", F.col("pos") + 1).alias("page"), F.coalesce("p.text", F.lit("")).alias("text"))
+    whole = docs.select(doc, F.try_parse_json(F.col(json)).alias("v")).where("v is not null")
+    # a string that holds JSON is decoded once more; only such documents are parsed twice
+    inner = F.when(F.schema_of_variant("v") == "STRING", F.try_parse_json(F.try_variant_get("v", "$", "string"))).otherwise(F.col("v"))
+    pages = F.try_variant_get(inner, "$.pages", "array<struct<page:int,text:string>>")
+    return whole.select(doc, F.posexplode(pages).alias("pos", "p")).where("p is not null").select(doc, F.coalesce("p.page", F.col("pos") + 1).alias("page"), F.coalesce("p.text", F.lit("")).alias("text"))
 
 
 def explode_lines(pages: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
