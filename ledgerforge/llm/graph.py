@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerforge.session import cut
@@ -17,7 +17,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     and no edge list is collected.
     """
     e = cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
-    before = None
+    before: dict | None = None
     while True:
         # large star: every larger neighbour of a node points to the node's least neighbour
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -26,8 +26,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # small star: every smaller neighbour of a node, and the node, point to the least of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v"))).distinct()
-        e = cut(small)
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        # what is written is counted on the way: no job of its own tells whether anything changed
+        seen = Observation()
+        e = cut(small.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")))
+        now = dict(seen.get)
         if now == before:
             break
         before = now
