@@ -57,6 +57,43 @@ def id_canon(c: Column) -> Column:
     return F.nullif(F.right(s, F.lit(15)), F.lit(""))
 
 
+def canon_company(c: Column, own: str, most: int = 60) -> Column:
+    """A company in upper case without marks at its end, all writings of the own one as ``SELF``; null if blank."""
+    s = F.regexp_replace(F.upper(squeeze(c)), r"[.,\s]+$", "")
+    return F.nullif(F.when(s.rlike(own), "SELF").otherwise(F.substring(s, 1, most)), F.lit(""))
+
+
+def source_page(c: Column) -> Column:
+    """The page of ``p3 file`` or ``3``; null without one."""
+    return F.nullif(F.regexp_extract(F.trim(c), r"^p?(\d{1,6})", 1), F.lit("")).try_cast("int")
+
+
+def serial_number(c: Column) -> Column:
+    """A 16-digit serial as ``010.002-25.12345678``; null if it has other digits."""
+    s = F.regexp_replace(c, r"\D", "")
+    return F.when(F.length(s) == 16, F.concat(F.substring(s, 1, 3), F.lit("."), F.substring(s, 4, 3), F.lit("-"), F.substring(s, 7, 2), F.lit("."), F.substring(s, 9, 8)))
+
+
+def tax_file_parts(name: Column) -> dict[str, Column]:
+    """buyer, seller and serial out of a digital tax invoice's file name; null if it isn't one."""
+    p = r"^(\d{15})-(\d{16})-(\d{16})-\d{14}\.pdf$"
+    return {n: F.nullif(F.regexp_extract(name, p, i), F.lit("")) for i, n in ((1, "buyer"), (2, "serial"), (3, "seller"))}
+
+
+def tax_rate(printed: Column, base: Column, tax: Column) -> Column:
+    """``11%`` or ``1.1%``: of a printed rate (8 and more, below 4, between), else of tax over base; null if neither tells."""
+    r = F.nullif(F.regexp_extract(F.translate(printed, ",", "."), r"(\d+(?:\.\d+)?)", 1), F.lit("")).try_cast("double")
+    q = F.try_divide(tax.cast("double"), base.cast("double"))
+    return F.when(r.isNotNull(), F.when(r < 4, "1.1%").otherwise("11%")).when(q.between(0.08, 0.14), "11%").when(q.between(0.005, 0.02), "1.1%")
+
+
+def loose_json(c: Column) -> Column:
+    """The JSON text inside an answer: fences stripped, the outermost braces, commas before a closing bracket dropped; null if it still isn't JSON."""
+    s = F.regexp_extract(c, r"(?s)(\{.*\})", 1)
+    s = F.regexp_replace(s, r",\s*([}\]])", "$1")
+    return F.when(F.try_parse_json(s).isNotNull(), s)
+
+
 def code_shape(c: Column) -> Column:
     """The first shape that an order number fits."""
     s = F.upper(F.trim(c))

@@ -62,11 +62,11 @@ def _tax_sql(base: str, tax: str) -> str:
     return f"({r[0]} OR {r[1]})"
 
 
-@query(f"""SELECT id, {_tax_sql('dasar_pengenaan_pajak', 'ppn')} AS fits, CASE WHEN NOT coalesce({_tax_sql('dasar_pengenaan_pajak', 'ppn')}, true)
+@query(f"""SELECT id, CASE WHEN {_tax_sql('dasar_pengenaan_pajak', 'ppn')} THEN 'yes' WHEN NOT {_tax_sql('dasar_pengenaan_pajak', 'ppn')} THEN 'no' END AS fits, CASE WHEN NOT coalesce({_tax_sql('dasar_pengenaan_pajak', 'ppn')}, true)
   AND NOT list_contains(string_split(coalesce(review_status, ''), '|'), 'PPN-DPP-MISMATCH') THEN concat_ws('|', nullif(review_status, ''), 'PPN-DPP-MISMATCH') ELSE review_status END AS review_status FROM faktur_pajak""")
 def ppn_dpp(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "faktur_pajak").withColumn("fits", gates.tax_fits(F.col("dasar_pengenaan_pajak"), F.col("ppn")))
-    return gates.tag_mismatch(t, "review_status", F.col("fits"), "PPN-DPP-MISMATCH").select("id", "fits", "review_status")
+    return gates.tag_mismatch(t, "review_status", F.col("fits"), "PPN-DPP-MISMATCH").select("id", F.when(F.col("fits"), "yes").when(~F.col("fits"), "no").alias("fits"), "review_status")
 
 
 _DISC = "(coalesce(disc_1, 0) + coalesce(disc_2, 0) + coalesce(disc_3, 0) + coalesce(disc_4, 0) + coalesce(disc_5, 0))"

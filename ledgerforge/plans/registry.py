@@ -9,6 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def plain_counts(sql: str) -> str:
+    """``count_if(x)`` as ``count(CASE WHEN x THEN 1 END)``: DuckDB's count_if is wider than bigint."""
+    out, rest = "", sql
+    while (at := rest.find("count_if(")) >= 0:
+        start, depth, end = at + len("count_if("), 1, at + len("count_if(")
+        while depth:
+            depth += {"(": 1, ")": -1}.get(rest[end], 0)
+            end += 1
+        out += rest[:at] + "count(CASE WHEN " + plain_counts(rest[start : end - 1]) + " THEN 1 END)"
+        rest = rest[end:]
+    return out + rest
+
+
 class Registry:
     def __init__(self) -> None:
         self.queries: dict[str, Query] = {}
@@ -20,7 +33,7 @@ class Registry:
         def add(f: Query) -> Query:
             self.queries[f.__name__] = f
             if sql:
-                self.sql[f.__name__] = sql
+                self.sql[f.__name__] = plain_counts(sql)
             return f
 
         return add

@@ -201,3 +201,49 @@ WITH t AS (SELECT doc_id, lower(text) AS s FROM documents)
 SELECT doc_id, (list_min(list_filter([{_LABEL_SQL}], lambda x: x IS NOT NULL))).label AS label FROM t""")
 def page_label(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", text.page_label(F.col("text")).alias("label"))
+
+
+@query(r"""
+WITH t AS (SELECT id, regexp_replace(upper(trim(regexp_replace(nama_pt, '\s+', ' ', 'g'))), '[.,\s]+$', '') AS s FROM faktur_penjualan)
+SELECT id, nullif(CASE WHEN regexp_matches(s, 'MUTO KOSUME') THEN 'SELF' ELSE substr(s, 1, 60) END, '') AS company FROM t""")
+def canon_company(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "faktur_penjualan").select("id", text.canon_company(F.col("nama_pt"), "MUTO KOSUME").alias("company"))
+
+
+@query(r"""
+WITH t AS (SELECT id, CASE WHEN id % 3 = 0 THEN 'p' || source_page || ' ' || source_file WHEN id % 3 = 1 THEN CAST(source_page AS VARCHAR) ELSE source_file END AS s FROM po_customer)
+SELECT id, try_cast(nullif(regexp_extract(trim(s), '^p?(\d{1,6})', 1), '') AS INTEGER) AS page FROM t""")
+def source_page(spark: SparkSession, d: str) -> DataFrame:
+    s = F.when(F.col("id") % 3 == 0, F.concat(F.lit("p"), F.col("source_page").cast("string"), F.lit(" "), "source_file")).when(F.col("id") % 3 == 1, F.col("source_page").cast("string")).otherwise(F.col("source_file"))
+    return table(spark, d, "po_customer").select("id", text.source_page(s).alias("page"))
+
+
+@query(r"""
+WITH t AS (SELECT id, kode_seri, regexp_replace(kode_seri, '\D', '', 'g') AS s FROM faktur_pajak)
+SELECT id, CASE WHEN length(s) = 16 THEN substr(s, 1, 3) || '.' || substr(s, 4, 3) || '-' || substr(s, 7, 2) || '.' || substr(s, 9, 8) END AS serial FROM t""")
+def serial_number(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "faktur_pajak").select("id", text.serial_number(F.col("kode_seri")).alias("serial"))
+
+
+@query(r"""
+WITH t AS (SELECT id, CASE WHEN id % 2 = 0 THEN CASE WHEN id % 4 = 0 THEN '11,0 %' ELSE '1.1%' END END AS printed, CAST(ppn AS DOUBLE) / nullif(CAST(dasar_pengenaan_pajak AS DOUBLE), 0) AS q FROM faktur_pajak),
+r AS (SELECT id, q, try_cast(nullif(regexp_extract(replace(printed, ',', '.'), '(\d+(?:\.\d+)?)', 1), '') AS DOUBLE) AS r FROM t)
+SELECT id, CASE WHEN r IS NOT NULL THEN CASE WHEN r < 4 THEN '1.1%' ELSE '11%' END WHEN q BETWEEN 0.08 AND 0.14 THEN '11%' WHEN q BETWEEN 0.005 AND 0.02 THEN '1.1%' END AS rate FROM r""")
+def tax_rate(spark: SparkSession, d: str) -> DataFrame:
+    printed = F.when(F.col("id") % 2 == 0, F.when(F.col("id") % 4 == 0, "11,0 %").otherwise("1.1%"))
+    return table(spark, d, "faktur_pajak").select("id", text.tax_rate(printed, F.col("dasar_pengenaan_pajak"), F.col("ppn")).alias("rate"))
+
+
+@query(r"""
+WITH t AS (SELECT doc_id, regexp_replace(regexp_extract('Answer: ```json ' || CASE WHEN doc_id % 2 = 0 THEN regexp_replace(standard_json, '\}$', ',}') ELSE standard_json END || ' ```', '(?s)(\{.*\})', 1), ',\s*([}\]])', '\1', 'g') AS s FROM documents WHERE standard_json IS NOT NULL)
+SELECT doc_id, json_extract_string(CASE WHEN json_valid(s) THEN s END, '$.kind') AS kind FROM t""")
+def loose_json(spark: SparkSession, d: str) -> DataFrame:
+    """JSON inside fenced answers, half of them with a comma too many."""
+    body = F.when(F.col("doc_id") % 2 == 0, F.regexp_replace("standard_json", r"\}$", ",}")).otherwise(F.col("standard_json"))
+    t = table(spark, d, "documents").where("standard_json is not null").select("doc_id", text.loose_json(F.concat(F.lit("Answer: ```json "), body, F.lit(" ```"))).alias("s"))
+    return t.select("doc_id", F.get_json_object("s", "$.kind").alias("kind"))
+
+
+@query(r"""SELECT id, nullif(substr(regexp_replace(po_issuer, '^\s+|\s+$', '', 'g'), 1, 280), '') AS issuer FROM po_customer""")
+def text_cell(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "po_customer").select("id", text.cell(F.col("po_issuer")).alias("issuer"))

@@ -116,6 +116,14 @@ def test_votes_ties_and_nulls(spark):
     assert got == [("None", "z", "z"), ("k", "None", "a"), ("k", "a", "a"), ("k", "b", "a"), ("m", "x", "x")]
 
 
+def test_tax_file_names(spark):
+    from ledgerforge.functions.text import tax_file_parts
+
+    df = spark.createDataFrame([("012345678901234-0100022512345678-0987654321098765-20250807101112.pdf",), ("x.pdf",), (None,)], "s string")
+    got = [tuple(r) for r in df.select(*[c.alias(n) for n, c in tax_file_parts(F.col("s")).items()]).collect()]
+    assert got == [("012345678901234", "0100022512345678", "0987654321098765"), (None, None, None), (None, None, None)]
+
+
 def test_merge_is_idempotent(spark):
     s = "k string, v int, n int"
     old, new = spark.createDataFrame([("a", 1, 1), ("b", 1, 1)], s), spark.createDataFrame([("b", 2, 2), ("c", 2, 2)], s)
