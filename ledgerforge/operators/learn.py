@@ -53,7 +53,7 @@ def quantity_meaning(pack: Column, carton: Column, pieces: Column, price: Column
 
 def fixpoint(df: DataFrame, step: object, open_rows: Column, most: int = 20) -> DataFrame:
     """``step`` applied until no open row is settled any more; each round is cut into the shared folder."""
-    from ledgerforge.session import cut
+    from ledgerforge.session import cut, drop_cut
 
     state = cut(df)
     left = state.where(open_rows).count()
@@ -62,6 +62,7 @@ def fixpoint(df: DataFrame, step: object, open_rows: Column, most: int = 20) ->
             break
         new = cut(step(state))
         now = new.where(open_rows).count()
+        drop_cut(state)
         state = new
         if now >= left:
             break

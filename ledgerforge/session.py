@@ -36,12 +36,36 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+def _cuts(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/ledgerforge-{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write a DataFrame to the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write a DataFrame to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    The files stay until ``drop_cut`` or, for all of a session, ``clear_cuts``: results are lazy and may read them later.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    path = f"{_cuts(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path  # type: ignore[attr-defined]
+    return out
+
+
+def drop_cut(df: DataFrame) -> None:
+    """Delete the files of a ``cut`` that nothing will read any more."""
+    _delete(df.sparkSession, df._cut_path)
+
+
+def clear_cuts(spark: SparkSession) -> None:
+    """Delete all cuts of this session, once its results are written."""
+    _delete(spark, _cuts(spark))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

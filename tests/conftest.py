@@ -15,6 +15,9 @@ def spark():
 
     s = local_session(cpus=4, shuffle=4, memory="4g")
     yield s
+    from ledgerforge.session import clear_cuts
+
+    clear_cuts(s)
     s.stop()
 
 

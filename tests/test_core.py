@@ -299,6 +299,18 @@ def test_store_versions(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "json" / "t")).count() == 2
 
 
+def test_cuts_are_read_back_and_deleted(spark):
+    import glob
+
+    from ledgerforge.session import cut, drop_cut
+
+    df = spark.createDataFrame([(1, None), (2, "x")], "k int, v string")
+    c = cut(df)
+    assert sorted(c.collect()) == sorted(df.collect()) and c.schema == df.schema and glob.glob(f"{c._cut_path}/*.parquet")
+    drop_cut(c)
+    assert not glob.glob(f"{c._cut_path}*")
+
+
 def test_delivery_rules():
     d = Delivery()
     d.see(True, False, 0)
