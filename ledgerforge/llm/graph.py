@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ledgerforge.session import cut
+from ledgerforge.session import cut, drop_cut
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -28,7 +28,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         # what is written is counted on the way: no job of its own tells whether anything changed
         seen = Observation()
-        e = cut(small.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")))
+        old, e = e, cut(small.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")))
+        drop_cut(old)
         now = dict(seen.get)
         if now == before:
             break
