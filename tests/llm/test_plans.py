@@ -24,5 +24,6 @@ def test_texts_are_not_shuffled(spark, sf, name):
 
 @pytest.mark.parametrize(("name", "text"), [("p6_found", True), ("p7_mix", False), ("p1_found", False)])
 def test_columns_at_the_scan(spark, sf, name, text):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 5000)
     p = plan(queries.QUERIES[name](spark, sf))
     assert any("text:" in s for s in re.findall(r"ReadSchema: struct<[^>]*", p)) == text
