@@ -7,6 +7,12 @@ within the radius agree on one block at least, and no window within the radius
 is missed. A hit proposes where the item would lie in the document; the exact
 similarity of the aligned words, weighted, over every stretch of twelve decides.
 
+Windows of five are not all: twelve words of which two are changed hold four
+unchanged ones in a row, not always five. So every run of as many words as a
+stretch is sure to hold proposes too, words with misread or changed letters
+standing for the item's word: nothing that the check would accept on aligned
+words is left out for want of a proposal.
+
 The items are a fixed, checked number and go to every task; documents are read
 once, whole, and never shuffled.
 
@@ -21,6 +27,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,6 +38,8 @@ from pyspark.sql import functions as F
 from ledgerforge.llm.names import MISREAD, edit
 
 MOST_ITEMS = 20_000
+#: Item words up to so many letters are looked up by what is left of them without two letters, longer ones are compared with all of their length.
+MOST_LETTERS = 24
 
 _WORD = re.compile(r"[^\W_]+")
 _GROUP = re.compile(r"(?<=\d)[.,'/-](?=\d)")
@@ -109,6 +118,81 @@ class Index:
             key = (self.prints >> shift) & mask
             order = np.argsort(key, kind="stable")
             self.tables.append((key[order], order))
+        self._seeds()
+
+    def _seeds(self) -> None:
+        """What ``runs`` reads: pairs of neighbouring words of all items, and the item words by what is left without one or two letters."""
+        size = np.array([len(c) for c in self.coded], dtype=np.int64)
+        self.first = np.concatenate(([0], np.cumsum(size))) if len(size) else np.zeros(1, dtype=np.int64)
+        self.owner = np.repeat(np.arange(len(size)), size)
+        flat = np.concatenate(self.coded) if len(size) else np.zeros(0, dtype=np.int64)
+        need = np.minimum(size, self.stretch)
+        changed = self.changed * need // 12
+        #: Equal words in a row that any accepted stretch of the item holds; pairs are the least that is looked up.
+        self.run = np.maximum(2, -((changed - need) // (changed + 1)))
+        inside = np.flatnonzero(self.owner[1:] == self.owner[:-1])
+        key = flat[inside] * len(self.vocabulary) + flat[inside + 1]
+        order = np.argsort(key, kind="stable")
+        self.pairs, self.pair_at = key[order], inside[order]
+        self.near: dict[str, tuple[int, ...]] = {}
+        self.without: dict[str, list[str]] = {}
+        self.wide: dict[int, list[str]] = {}
+        for w in self.vocabulary:
+            if len(w) > MOST_LETTERS:
+                self.wide.setdefault(len(w), []).append(w)
+            elif len(w) >= 3:
+                for x in _without(w.translate(_FOLD), 1 if len(w) < 8 else 2):
+                    self.without.setdefault(x, []).append(w)
+
+    def codes(self, word: str) -> tuple[int, ...]:
+        """The item words that a word of a document may stand for: itself and all that are alike."""
+        got = self.near.get(word)
+        if got is None:
+            other: set[str] = {word} & self.vocabulary.keys()
+            if len(word) >= 4:
+                for n in (len(word) - 1, len(word), len(word) + 1):
+                    other.update(w for w in self.wide.get(n, ()) if _alike(word, w))
+                if len(word) <= MOST_LETTERS + 1:
+                    near = {w for x in _without(word.translate(_FOLD), 1 if len(word) < 7 else 2) for w in self.without.get(x, ())}
+                    other.update(w for w in near if _alike(word, w))
+            if len(self.near) >= 300_000:
+                self.near.clear()
+            got = self.near[word] = tuple(sorted(self.vocabulary[w] for w in other))
+        return got
+
+    def runs(self, ids: np.ndarray, unique: list[str], owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(word, item word) where runs of alike words begin that are long enough to propose a place; ids: positions in ``unique``."""
+        none = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        if len(ids) < 2 or not len(self.pairs):
+            return none
+        codes = [self.codes(w) for w in unique]
+        count = np.array([len(c) for c in codes])
+        begin = np.concatenate(([0], np.cumsum(count)[:-1]))
+        flat = np.array([c for cs in codes for c in cs], dtype=np.int64)
+        p = np.flatnonzero((count[ids[:-1]] > 0) & (count[ids[1:]] > 0) & (owner[:-1] == owner[1:]))
+        a, b = ids[p], ids[p + 1]
+        n = count[a] * count[b]
+        which = np.repeat(np.arange(len(p)), n)
+        k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        key = flat[begin[a[which]] + k // count[b[which]]] * len(self.vocabulary) + flat[begin[b[which]] + k % count[b[which]]]
+        lo, hi = np.searchsorted(self.pairs, key, "left"), np.searchsorted(self.pairs, key, "right")
+        n = hi - lo
+        q = self.pair_at[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        total = len(self.owner)
+        at = np.unique(np.repeat(p[which], n) * total + q)  # pairs of one diagonal follow at total + 1
+        there = lambda x: at[np.minimum(np.searchsorted(at, x), len(at) - 1)] == x
+        if not len(at):
+            return none
+        enough, ahead = np.ones(len(at), dtype=bool), np.ones(len(at), dtype=bool)
+        run = self.run[self.owner[at % total]]
+        for m in range(1, int(run.max()) - 1):
+            ahead &= there(at + m * (total + 1))
+            enough &= ahead | (run - 1 <= m)
+        at = at[enough]
+        if not len(at):
+            return none
+        at = at[~there(at - (total + 1))]  # the first of each run
+        return at // total, at % total
 
     def hits(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(i, j) of all pairs of a fingerprint and an item window within the radius."""
@@ -135,7 +219,7 @@ class Index:
             lo, hi = max(0, -d), min(len(item), len(words) - d)
             if hi - lo < need:
                 continue
-            same = np.fromiter((words[p + d] == item[p] for p in range(lo, hi)), dtype=bool, count=hi - lo)
+            same = np.fromiter((_alike(words[p + d], item[p]) for p in range(lo, hi)), dtype=bool, count=hi - lo)
             if self._long(same, item, lo, need):
                 return True
         for i, j in sorted(at):
@@ -153,48 +237,69 @@ class Index:
         return bool(np.any((m[good + need] - m[good]) >= self.least * (w[good + need] - w[good])))
 
     def _aligned(self, words: list[str], item: list[str], i: int, j: int, need: int) -> bool:
-        """A walk from a hit both ways, past single changed, added, lost, cut or misread words."""
-        back, lost_b, w_b = self._walk(words[:i][::-1], item[:j][::-1], True)
-        ahead, lost_a, w_a = self._walk(words[i:], item[j:], False)
-        n = back + ahead
-        return n >= need and (lost_a + lost_b) * 12 <= self.changed * n and w_a[0] + w_b[0] >= 1.15 * self.least * (w_a[1] + w_b[1])
-
-    def _walk(self, a: list[str], b: list[str], reverse: bool) -> tuple[int, int, tuple[float, float]]:
-        """(item words passed, of them changed, (weight matched, weight passed)) up to the last matching word."""
-        p = q = n = lost = 0
-        got = all_ = 0.0
-        best = (0, 0, (0.0, 0.0))
+        """A walk from a hit both ways, past changed, added, lost, cut or misread words; any stretch of it counts that begins and ends with a word found."""
+        back, ahead = self._walk(words[:i][::-1], item[:j][::-1], True), self._walk(words[i:], item[j:], False)
+        steps = [*reversed(back), *ahead]
+        found = np.flatnonzero([x[1] == 0 for x in steps])
+        if not len(found):
+            return False
+        n, lost, got, all_ = np.concatenate((np.zeros((4, 1)), np.cumsum(np.array(steps, dtype=float).T, axis=1)), axis=1)
+        if n[-1] < need:
+            return False
+        span = lambda x: x[found + 1][None, :] - x[found][:, None]
+        passed = span(n)
+        return bool(np.any((passed >= need) & (span(lost) * 12 <= self.changed * passed) & (span(got) >= 1.15 * self.least * span(all_))))
+
+    def _walk(self, a: list[str], b: list[str], reverse: bool) -> list[tuple[int, int, float, float]]:
+        """(item words passed, words changed, weight matched, weight passed) of each step; 0 words changed: the word was found."""
+        p = q = 0
+        steps: list[tuple[int, int, float, float]] = []
+        weight = lambda m: float(sum(self.rare.get(w, 1) for w in b[q : q + m]))
         while q < len(b) and p < len(a):
-            w = self.rare.get(b[q], 1)
+            w = weight(1)
             if _alike(a[p], b[q]):
-                p, q, got, all_ = p + 1, q + 1, got + w, all_ + w
-                best = (q, lost, (got, all_))
+                steps.append((1, 0, w, w))
+                p, q = p + 1, q + 1
                 continue
             joined = a[p + 1] + a[p] if reverse and p + 1 < len(a) else a[p] + a[p + 1] if p + 1 < len(a) else ""
             if joined and _alike(joined, b[q]):
-                p, q, got, all_ = p + 2, q + 1, got + w, all_ + w
-                best = (q, lost, (got, all_))
+                steps.append((1, 0, w, w))
+                p, q = p + 2, q + 1
                 continue
             glued = b[q + 1] + b[q] if reverse and q + 1 < len(b) else b[q] + b[q + 1] if q + 1 < len(b) else ""
             if glued and _alike(a[p], glued):
-                p, q, got, all_ = p + 1, q + 2, got + w, all_ + w
-                best = (q, lost, (got, all_))
+                steps.append((2, 0, weight(2), weight(2)))
+                p, q = p + 1, q + 2
                 continue
-            nxt = lambda x, y: x < len(a) and y < len(b) and _alike(a[x], b[y])
-            if nxt(p + 1, q + 1):
-                p, q, lost, all_ = p + 1, q + 1, lost + 1, all_ + w
-            elif nxt(p + 1, q):
-                p, lost = p + 1, lost + 1
-            elif nxt(p, q + 1):
-                q, lost, all_ = q + 1, lost + 1, all_ + w
+            for x, y in _PAST:
+                if p + x < len(a) and q + y < len(b) and _alike(a[p + x], b[q + y]):
+                    steps.append((y, max(x, y), 0.0, weight(y)))
+                    p, q = p + x, q + y
+                    break
             else:
                 break
-        return best
+        return steps
+
+
+#: Words of the document and of the item that are passed where neither is found: one changed, added or lost, then two of them.
+_PAST = ((1, 1), (1, 0), (0, 1), (2, 2), (2, 1), (1, 2), (2, 0), (0, 2))
+
+
+def _without(word: str, most: int) -> set[str]:
+    """The word and what is left of it without up to ``most`` letters."""
+    out = last = {word}
+    for _ in range(most):
+        last = {w[:k] + w[k + 1 :] for w in last for k in range(len(w))}
+        out = out | last
+    return out
 
 
 def _alike(a: str, b: str) -> bool:
-    if a == b:
-        return True
+    return a == b or _misread(a, b)
+
+
+@lru_cache(maxsize=200_000)
+def _misread(a: str, b: str) -> bool:
     if len(a) < 4 or abs(len(a) - len(b)) > 1 or (a.isdigit() and b.isdigit()):
         return False
     x, y = a.translate(_FOLD), b.translate(_FOLD)
@@ -250,9 +355,11 @@ def scan(ids: list[int], texts: list[str], index: Index) -> pd.DataFrame:
         whole = owner[: len(prints)] == owner[index.window - 1 :]
         at = np.flatnonzero(whole)
         i, j = index.hits(prints[at])
-        i = at[i]
+        i, j = at[i], index.first[index.item[j]] + index.at[j]
+        more, item_at = index.runs(codes, list(unique), owner)
+        i, j = np.concatenate((i, more)), np.concatenate((j, item_at))
         places: dict[tuple[int, int], set[tuple[int, int]]] = {}
-        for d, p, k, q in zip(owner[i].tolist(), (i - start[owner[i]]).tolist(), index.item[j].tolist(), index.at[j].tolist()):
+        for d, p, k, q in zip(owner[i].tolist(), (i - start[owner[i]]).tolist(), index.owner[j].tolist(), (j - index.first[index.owner[j]]).tolist()):
             places.setdefault((d, k), set()).add((p, q))
         out += [(ids[d], index.items[k][0]) for (d, k), places_ in places.items() if index.holds(words[d], k, places_)]
     # items shorter than a window can only be repeated whole

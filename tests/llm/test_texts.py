@@ -48,6 +48,34 @@ def test_planted_passages_are_found_and_short_ones_not():
     assert got == want
 
 
+def test_two_changed_words_of_twelve_and_misread_items_are_found():
+    items, r = made_items(), random.Random(3)
+    index = leaks.Index(items, 5, 3, 12, 2)
+    filler = lambda n: [f"w{r.randrange(500)}x" for _ in range(n)]
+    misread = lambda w: w[:2] + ("q" if w[2] != "q" else "x") + w[3:] if len(w) > 3 else "xyzzy"
+    docs, want = [], set()
+    for a in range(12):
+        for b in range(a):
+            k = r.randrange(len(items))
+            words = items[k][1].split()
+            weight = [index.rare[w] for w in words]
+            # the check also asks for a share of the weight, which stretches with rare words changed may miss
+            fit = [i for i in range(len(words) - 11) if (weight[i + a] + weight[i + b]) <= 0.25 * sum(weight[i : i + 12])]
+            if fit:
+                at = r.choice(fit)
+                body = words[at : at + 12]
+                body[a], body[b] = "xyzzy", "plugh"
+                want.add((len(docs), k))
+                docs.append(" ".join([*filler(30), *body, *filler(30)]))
+    for k, (_, t) in enumerate(items):
+        words = t.split()
+        for every, change in ((5, lambda w: "xyzzy"), (5, misread), (2, lambda w: misread(w) if len(w) > 3 else w)):
+            want.add((len(docs), k))
+            docs.append(" ".join([*filler(10), *[change(w) if i % every == 0 else w for i, w in enumerate(words)], *filler(10)]))
+    got = set(leaks.scan(list(range(len(docs))), docs, index).itertuples(index=False, name=None))
+    assert got == want
+
+
 def test_index_loses_no_window_within_the_radius():
     items = made_items(15)
     index = leaks.Index(items, 5, 3, 12, 2)
