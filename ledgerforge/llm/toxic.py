@@ -1,8 +1,8 @@
 """Abusive, hateful or sexual language, found as maximum-scoring segments (problem 8).
 
 Words and pairs of words get log-odds with an informative Dirichlet prior: how
-often documents labelled bad use them against all other documents, the prior
-being the corpus itself plus a short list of plain terms of abuse. Every text,
+often documents labelled bad use them against all other documents, or against
+those labelled ok where that says more, the prior being the corpus itself plus a short list of plain terms of abuse. Every text,
 disguises undone, is a sequence of such scores, less a drift; one linear scan
 (Ruzzo and Tompa) yields all maximal segments, that is passages. A passage of
 score S in a text of n words is significant if its extreme-value expectation
@@ -153,20 +153,28 @@ def fit(docs: DataFrame, labels: DataFrame, strength: float = 10.0, least: int =
     """(scores of words and pairs, drift, lambda).
 
     strength: documents that the prior is worth; least: bad documents that must use a word; top: the largest score;
-    certainty: standard errors that a score is lowered by; rare: the share of documents below which a listed term counts.
+    certainty: standard errors that a score is lowered by; rare: the share of documents below which a listed term counts
+    whatever the labels say. Above it the labelled texts decide, each distinct one once, so neither copies nor the share
+    of bad documents unlist a term.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter[str] = Counter()
+        seen: dict[bool, Counter[str]] = {True: Counter(), False: Counter()}
         for pdf in batches:
-            for t in pdf["text"]:
-                seen.update(set(grams(tokens(t))))
-        yield pd.DataFrame(list(seen.items()), columns=["gram", "n"])
-
-    marked = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(bad_documents(labels)), "doc_id")
-    bad = marked.where("bad")
-    n_bad = bad.count()
-    known = {r[0]: r[1] for r in bad.repartition(8).mapInPandas(count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least).collect()} if n_bad else {}
+            for t, is_bad in zip(pdf["text"], pdf["bad"]):
+                seen[bool(is_bad)].update(set(grams(tokens(t))))
+        yield pd.DataFrame([(g, seen[True][g], seen[False][g]) for g in seen[True] | seen[False]], columns=["gram", "n", "ok"])
+
+    # copies of a text are one labelled text: bad if most of its labels say so
+    sample = docs.select("doc_id", F.xxhash64("text").alias("h"), F.col("text").isNotNull().alias("full")).where("full").join(F.broadcast(bad_documents(labels)), "doc_id")
+    once = sample.groupBy("h").agg(F.min("doc_id").alias("doc_id"), (F.avg(F.col("bad").cast("int")) >= 0.5).alias("bad")).select("doc_id", "bad").collect()
+    n_bad, n_ok = sum(r.bad for r in once), sum(not r.bad for r in once)
+    counts: dict[str, tuple[int, int]] = {}
+    if once:
+        marked = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(docs.sparkSession.createDataFrame(once, "doc_id bigint, bad boolean")), "doc_id").select("text", "bad")
+        summed = marked.repartition(8).mapInPandas(count, "gram string, n long, ok long").groupBy("gram").agg(F.sum("n").alias("n"), F.sum("ok").alias("ok"))
+        counts = {r[0]: (r[1], r[2]) for r in summed.where((F.col("n") >= least) | F.col("gram").isin(*_PLAIN, *_PAIRS)).collect()}
+    known = {g: n for g, (n, _) in counts.items() if n >= least}
     wanted = frozenset(known) | _PLAIN | _PAIRS
 
     def count_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -186,24 +194,39 @@ def fit(docs: DataFrame, labels: DataFrame, strength: float = 10.0, least: int =
     total = {r[0]: (r[1], r[2]) for r in docs.select("text").where("text is not null").mapInPandas(count_all, "gram string, n long, times long").groupBy("gram").agg(F.sum("n"), F.sum("times")).collect()}
     n_docs, n_words = total.get(None, (0, 0))
     table: dict[str, float] = {}
+    abuse: set[str] = set()  # frequent and kept by the labels: no part of the text that chance is judged by
     for g in wanted:
         k, _ = total.get(g, (0, 0))
         share = (k + 0.5) / (n_docs + 1.0)
-        b, rest = known.get(g, 0), max(k - known.get(g, 0), 0)
-        if (g in _PLAIN or g in _PAIRS) and k < max(rare * n_docs, 5):
-            # the prior of a listed term that the corpus hardly uses outweighs any count
+        b, ok = counts.get(g, (0, 0))
+        often = k >= max(rare * n_docs, 5)
+        if (g in _PLAIN or g in _PAIRS) and (not often or _abusive(b, ok, n_bad, n_ok, drift, least)):
+            # the prior of a listed term that the corpus hardly uses, or labelled bad documents far more than ok ones, outweighs any count
             table[g] = top
+            abuse |= {g} if often else set()
+            continue
+        if b < least:
             continue
         up = (b + strength * share) / (n_bad + strength)
-        down = (rest + strength * share) / (max(n_docs - n_bad, 0) + strength)
-        spread = math.sqrt(1.0 / (b + strength * share) + 1.0 / (rest + strength * share))
-        s = math.log(up / down) - certainty * spread
-        if s > drift and b >= least:
-            table[g] = min(s, top)
-    mass = {g: total[g][1] / n_words for g in table if g in total and n_words}
+        scores = []
+        # unlabelled bad documents are among the others, but not among the ok ones
+        for rest, n_rest in ((max(k - b, 0), max(n_docs - n_bad, 0)), (ok, n_ok)):
+            down = (rest + strength * share) / (n_rest + strength)
+            spread = math.sqrt(1.0 / (b + strength * share) + 1.0 / (rest + strength * share))
+            scores.append(math.log(up / down) - certainty * spread)
+        if max(scores) > drift:
+            table[g] = min(max(scores), top)
+    mass = {g: total[g][1] / n_words for g in table if g in total and g not in abuse and n_words}
     return table, drift, _decay([(p, table[g] - drift) for g, p in mass.items()], drift)
 
 
+def _abusive(b: int, ok: int, n_bad: int, n_ok: int, drift: float, least: int) -> bool:
+    """Whether labels let a listed term that the corpus uses often stand: its share of the bad texts is far above that of the ok ones. Without bad texts the list decides where no ok text uses it."""
+    if not n_bad:
+        return not ok
+    return b >= min(least, n_bad) and math.log((b + 0.5) / (n_bad + 1)) - math.log((ok + 0.5) / (n_ok + 1)) > drift
+
+
 def _decay(steps: list[tuple[float, float]], drift: float) -> float:
     """lambda > 0 with the sum of p exp(lambda s) equal to 1, the rest of the words scoring -drift; at least ``LEAST_DECAY``."""
     rest = max(1e-9, 1.0 - sum(p for p, _ in steps))

@@ -258,3 +258,20 @@ def test_rates(spark, sf):
     rates = queries.p8_rates(spark, sf).toPandas()
     assert rates.n_documents.sum() == spark.read.parquet(f"{sf}/documents.parquet").count()
     assert queries.p8_found(spark, sf).count() == rates.n_bad.sum()
+
+
+def test_frequent_abuse_stays_listed(spark):
+    r = random.Random(6)
+    clean = ["stok makanan anjing sudah masuk", "harga kikir bastard berubah", "mohon konfirmasi jadwal kirim", "truk dari kelung baru sampai"]
+    rows, labels = [], []
+    for i in range(900):
+        bad, copy = i % 3 == 0, i % 3 == 1 and i % 2 == 0
+        text = f"nota {i}: " + ". ".join(r.choices(clean, k=3)) + (f". dasar {r.choice(['goblok', 'tolol'])} kamu" if bad else "")
+        rows.append((i, "chat", "re-upload: dasar keparat kamu" if copy else text))
+        if i % 10 == 0 or bad and i % 7 == 0:
+            labels.append((i, "abusive" if bad or copy else "ok"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    table, drift, decay = toxic.fit(docs, spark.createDataFrame(labels, "doc_id bigint, label string"))
+    assert {"goblok", "tolol"} <= table.keys() and not {"anjing", "bastard"} & table.keys()
+    table, *_ = toxic.fit(docs, spark.createDataFrame([], "doc_id bigint, label string"))
+    assert {"goblok", "tolol", "keparat"} <= table.keys()
