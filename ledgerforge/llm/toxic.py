@@ -6,7 +6,7 @@ those labelled ok where that says more, the prior being the corpus itself plus a
 disguises undone, is a sequence of such scores, less a drift; one linear scan
 (Ruzzo and Tompa) yields all maximal segments, that is passages. A passage of
 score S in a text of n words is significant if its extreme-value expectation
-K n exp(-lambda S) is small, lambda coming from the distribution of scores
+K n exp(-lambda S) is small, n being bounded for passages with a listed term, lambda coming from the distribution of scores
 over the whole corpus.
 
 Labels are the only sample: at most ``MOST_LABELS`` of them, by hash, fit the
@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 
 #: Documented bound of the labelled sample that fits the scores.
 MOST_LABELS = 20_000
+#: Words that a passage with a listed term is judged over at most: at the least lambda a single term at the top score is significant among them.
+STRETCH = 40
 #: The least lambda: below it, in a handful of documents that are mostly abuse, scores would mean nothing.
 LEAST_DECAY = 1.5
 
@@ -136,11 +138,24 @@ def word_scores(words: list[str], table: dict[str, float], drift: float) -> list
     return [max(own[i], pair[i - 1] if i else 0.0, pair[i] if i < n - 1 else 0.0) - drift for i in range(n)]
 
 
-def score_text(text: str | None, table: dict[str, float], drift: float) -> tuple[float, int, str]:
-    """(score of the best passage, words, the passage)."""
+def score_text(text: str | None, table: dict[str, float], drift: float, decay: float, k: float = 0.1, top: float = 6.0) -> tuple[float, int, float, str]:
+    """(score, words, expectation, passage) of the passage that chance explains least.
+
+    A passage is judged over the whole text, but one that holds a listed term at its top score over ``STRETCH`` words
+    at most: a plain insult does not become chance because much other text surrounds it.
+    """
     words = tokens(text or "")
-    best = max(segments(word_scores(words, table, drift)), key=lambda x: x[2], default=(0, 0, 0.0))
-    return best[2], len(words), " ".join(words[best[0] : best[1]])
+    n = max(len(words), 1)
+    best = (0.0, len(words), float(n), "")
+    for a, b, s in segments(word_scores(words, table, drift)):
+        if s <= best[0] and best[2] <= k * min(n, STRETCH) * math.exp(-decay * s):
+            continue
+        passage = words[a:b]
+        listed = any(table.get(g, 0.0) >= top and (g in _PLAIN or g in _PAIRS) for g in grams(passage))
+        found = (s, len(words), k * (min(n, STRETCH) if listed else n) * math.exp(-decay * s), " ".join(passage))
+        if not best[3] or (found[2], -s) < (best[2], -best[0]):
+            best = found
+    return best
 
 
 def bad_documents(labels: DataFrame, most: int = MOST_LABELS) -> DataFrame:
@@ -247,8 +262,7 @@ def score_documents(docs: DataFrame, table: dict[str, float], drift: float, deca
         for pdf in batches:
             rows = []
             for i, src, t in zip(pdf["doc_id"], pdf["source"], pdf["text"]):
-                s, n, p = score_text(t, table, drift)
-                rows.append((i, src, s, n, k * max(n, 1) * math.exp(-decay * s) if s > 0 else float(max(n, 1)), p))
+                rows.append((i, src, *score_text(t, table, drift, decay, k)))
             yield pd.DataFrame(rows, columns=["doc_id", "source", "score", "n_words", "expectation", "passage"])
 
     return docs.select("doc_id", "source", "text").mapInPandas(run, "doc_id bigint, source string, score double, n_words int, expectation double, passage string")

@@ -275,3 +275,14 @@ def test_frequent_abuse_stays_listed(spark):
     assert {"goblok", "tolol"} <= table.keys() and not {"anjing", "bastard"} & table.keys()
     table, *_ = toxic.fit(docs, spark.createDataFrame([], "doc_id bigint, label string"))
     assert {"goblok", "tolol", "keparat"} <= table.keys()
+
+
+@pytest.mark.parametrize("decay", [toxic.LEAST_DECAY, 2.0, 8.0])
+@pytest.mark.parametrize("insult", ["goblok", "g0bl0k", "shut up", "sebab goblok kamu"])
+def test_one_insult_in_a_long_text(spark, decay, insult):
+    table, drift = {t: 6.0 for t in toxic._PLAIN | toxic._PAIRS} | {"mohon": 2.9}, 2.0
+    text = "mohon konfirmasi jadwal kirim hari ini. " * 800
+    docs = spark.createDataFrame([(1, "a", insult), (2, "a", text + insult + ". " + text), (3, "a", text)], "doc_id bigint, source string, text string")
+    got = {r.doc_id: r for r in toxic.score_documents(docs, table, drift, decay).collect()}
+    assert {i for i, r in got.items() if r.expectation <= queries.SIGNIFICANT} == {1, 2}
+    assert got[2].n_words > 9000 and got[2].score >= 4.0
