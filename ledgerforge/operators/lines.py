@@ -28,6 +28,20 @@ def explode_pages(docs: DataFrame, doc: str = "doc_id", json: str = "standard_js
     return whole.select(doc, F.posexplode(pages).alias("pos", "p")).where("p is not null").select(doc, F.coalesce("p.page", F.col("pos") + 1).alias("page"), F.coalesce("p.text", F.lit("")).alias("text"))
 
 
+def pages_or_text(docs: DataFrame, doc: str = "doc_id", json: str = "standard_json", text: str = "text") -> DataFrame:
+    """(doc, page, text) of every document: the pages of its JSON, a lone object counting as one; where they hold no text, the document's own text as page 1."""
+    v = F.try_parse_json(F.col(json))
+    parsed = docs.select(doc, F.coalesce(F.col(text), F.lit("")).alias("_own"), v.alias("v"))
+    inner = parsed.withColumn("v", F.when(F.schema_of_variant("v") == "STRING", F.try_parse_json(F.try_variant_get("v", "$", "string"))).otherwise(F.col("v")))
+    listed, lone = F.try_variant_get("v", "$.pages", "array<struct<page:int,text:string>>"), F.try_variant_get("v", "$.pages", "struct<page:int,text:string>")
+    found = F.coalesce(listed, F.when(lone.isNotNull(), F.array(lone)))
+    placed = F.transform(found, lambda p, i: F.when(p.isNotNull(), F.struct(F.coalesce(p["page"], i + 1).alias("page"), F.coalesce(p["text"], F.lit("")).alias("text"))))
+    read = inner.select(doc, "_own", F.filter(placed, lambda p: p.isNotNull()).alias("ps"))
+    whole = F.coalesce(F.exists("ps", lambda p: F.trim(p["text"]) != ""), F.lit(False))
+    own = F.array(F.struct(F.lit(1).alias("page"), F.col("_own").alias("text")))
+    return read.select(doc, F.explode(F.when(whole, F.col("ps")).otherwise(own)).alias("p")).select(doc, "p.page", "p.text")
+
+
 def explode_lines(pages: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """(keys, line_no, line) from 1; a null text has no line."""
     return pages.select(*keys, F.posexplode(F.split(text, r"\r\n|\r|\n")).alias("line_no", "line")).withColumn("line_no", F.col("line_no") + 1)

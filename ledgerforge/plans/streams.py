@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerforge.operators.lines import explode_pages
+from ledgerforge.operators.lines import explode_pages, pages_or_text
 from ledgerforge.plans import pipeline
 from ledgerforge.plans.ordered import PAGES
 from ledgerforge.plans.registry import Registry
@@ -30,8 +30,8 @@ def delivery_state(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def map_documents(spark: SparkSession, d: str) -> DataFrame:
     """The proved rows of all documents, every tab, out of their pages."""
-    rows = pipeline.map_pages(explode_pages(table(spark, d, "documents")))
-    return rows.select("doc_id", "page", "class", "line_no", "code", "name", "qty", "unit", "price", "total", "gate")
+    rows = pipeline.map_pages(pages_or_text(table(spark, d, "documents")))
+    return rows.select("doc_id", "page", "class", "line_no", "code", "name", "qty", "unit", "price", "total", "gate", "discount", "cartons", "pieces")
 
 
 @query(rf"""WITH {PAGES}, c AS (SELECT doc_id, page, text, CASE WHEN regexp_matches(upper(text), '(?m)^\s*FAKTUR PENJUALAN') THEN 'FAKTUR_PENJUALAN' ELSE 'X' END AS class FROM pages)

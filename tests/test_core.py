@@ -251,6 +251,25 @@ def test_pipeline_tabs(spark, sf):
     assert po.where("gate in ('OK', 'GROSS-11', 'GROSS-1.1')").count() > 0.4 * po.count() > 0
 
 
+def test_every_page_class_gives_rows(spark):
+    page = lambda *ls: "\n".join(ls)
+    tax = page("FAKTUR PAJAK", "1.200,00", "MINYAK GORENG", "Rp 100,00 x 12,00")
+    texts = [
+        (1, page("FAKTUR PENJUALAN", "1234567 SABUN CAIR 0/3 5.000 100 0 0 0 0 14.900", "1234568 SIKAT 2/0 5.000 0 0 0 0 0 10.000")),
+        (2, tax), (3, page("PURCHASE ORDER", "POS ITEM", "0010 12345678", "GULA PASIR", "3 PCS 1.000 3.000")),
+        (4, page("PURCHASE ORDER", "BARCODE NAME", "1234567890123 KOPI 3 PCS 1.000 300 2.700")),
+        (5, page("PURCHASE ORDER", "Kecap Manis 4 2.500 10.000")), (6, "halo"), (7, None),
+    ]
+    js = {2: "{broken", 3: '{"pages": {"text": "PURCHASE ORDER\\nPOS ITEM\\n0010 12345678\\nGULA PASIR\\n3 PCS 1.000 3.000"}}', 4: '{"pages": [null]}', 5: '{"other": 1}'}
+    docs = spark.createDataFrame([(i, t, js.get(i)) for i, t in texts], "doc_id bigint, text string, standard_json string")
+    tabs = map_documents(docs)
+    got = {n: sorted((r.doc_id, r.name, None if r.qty is None else float(r.qty), float(r.discount), float(r.total), r.gate) for r in t.collect()) for n, t in tabs.items() if n != "review"}
+    assert got["faktur_penjualan"] == [(1, "SABUN CAIR", 3.0, 100.0, 14900.0, "OK"), (1, "SIKAT", None, 0.0, 10000.0, "VERIFY")]
+    assert got["faktur_pajak"] == [(2, "MINYAK GORENG", 12.0, 0.0, 1200.0, "OK")]
+    assert got["po_customer"] == [(3, "GULA PASIR", 3.0, 0.0, 3000.0, "OK"), (4, "KOPI", 3.0, 300.0, 2700.0, "OK"), (5, "Kecap Manis", 4.0, 0.0, 10000.0, "OK")]
+    assert sorted(tuple(r) for r in tabs["review"].collect()) == [(6, 1, 4), (7, 1, 0)]
+
+
 def test_audit_shapes(spark):
     df = spark.createDataFrame([("a", " ", 1), ("a", None, 2), ("b", "x", 2)], "k string, v string, n int")
     assert {(r.field, r.n_filled) for r in audit.fill_rate(df, ["k", "v"]).collect()} == {("k", 3), ("v", 1)}
