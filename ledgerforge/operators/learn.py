@@ -51,19 +51,22 @@ def quantity_meaning(pack: Column, carton: Column, pieces: Column, price: Column
     return F.when(~known, None).when((pieces > 0) & ok(carton * pack + pieces), "carton-plus-pieces").when(ok(carton * pack), "cartons").when(ok(carton), "first-number").otherwise("unexplained")
 
 
-def fixpoint(df: DataFrame, step: object, open_rows: Column, most: int = 20) -> DataFrame:
-    """``step`` applied until no open row is settled any more; each round is cut into the shared folder."""
+def fixpoint(df: DataFrame, step: object, open_rows: Column, most: int | None = None) -> DataFrame:
+    """``step`` applied until no open row is settled any more; each round is cut into the shared folder.
+
+    most: rounds after which a state that still gains raises an error, instead of being returned unfinished; None for no bound.
+    """
     from ledgerforge.session import cut, drop_cut
 
     state = cut(df)
-    left = state.where(open_rows).count()
-    for _ in range(most):
-        if not left:
-            break
+    left, rounds = state.where(open_rows).count(), 0
+    while left:
+        if most is not None and rounds >= most:
+            raise RuntimeError(f"no fixpoint after {most} rounds: {left} rows are open")
         new = cut(step(state))
         now = new.where(open_rows).count()
         drop_cut(state)
-        state = new
+        state, rounds = new, rounds + 1
         if now >= left:
             break
         left = now

@@ -270,6 +270,13 @@ def test_every_page_class_gives_rows(spark):
     assert sorted(tuple(r) for r in tabs["review"].collect()) == [(6, 1, 4), (7, 1, 0)]
 
 
+def test_fixpoint_of_a_hot_order(spark, tmp_path):
+    rows = [(1, n, 99 if n == 3 else 7, "50" if n in (3, 70) else "1") for n in range(1, 91)] + [(2, 1, 5, "1")]
+    spark.createDataFrame(rows, "l_orderkey bigint, l_linenumber bigint, l_suppkey bigint, q string").selectExpr("l_orderkey", "l_linenumber", "l_suppkey", "cast(q as decimal(12,2)) AS l_quantity").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {(r[0], r[1]): r[2] for r in catalogue.QUERIES["fixpoint"](spark, str(tmp_path)).collect()}
+    assert got == {(1, n): None if n < 3 else 99 if n < 70 else 7 for n in range(1, 91)} | {(2, 1): None}
+
+
 def test_audit_shapes(spark):
     df = spark.createDataFrame([("a", " ", 1), ("a", None, 2), ("b", "x", 2)], "k string, v string, n int")
     assert {(r.field, r.n_filled) for r in audit.fill_rate(df, ["k", "v"]).collect()} == {("k", 3), ("v", 1)}
