@@ -135,7 +135,9 @@ def read_name(text: str, lines: tuple[str, ...]) -> Name | None:
     if reverse and len(words) == 2:
         words, dots = words[::-1], dots[::-1]
     short = tuple(len(w) <= 3 and (len(w) == 1 or d or len(words) > 1) for w, d in zip(words, dots))
-    if all(short) or max(map(len, words)) < 4:
+    if all(1 < len(w) <= 3 and not d for w, d in zip(words, dots)):
+        short = (False,) * len(words)  # nothing was cut: such a name has short words only
+    if all(short):
         return None
     return Name(tuple(words), short, lob, whole, firm)
 
@@ -166,6 +168,10 @@ def core_distance(a: Name, b: Name) -> int:
 
     A glued name is held against the joined words and may be one edit off.
     """
+    if max(map(len, a.words + b.words)) < 4:
+        # one edit makes another word of three letters
+        p, q = tuple(map(fold, a.words)), tuple(map(fold, b.words))
+        return 0 if p == q or p == q[::-1] else 3
     best = 3
     for x, xs in ((a.words, a.short), (a.words[::-1], a.short[::-1])):
         if len(x) == len(b.words) == 2:

@@ -95,7 +95,7 @@ def _name(r: tuple) -> Name:
 def link_names(names: DataFrame) -> DataFrame:
     """(key, class) of all names (one row a key, with the columns of ``read_names``): class is the least key of the class."""
     names = cut(names.select("key", "words", "short", "lob", "whole", "firm").dropDuplicates(["key"]))
-    points = names.select("key", F.explode("words").alias("raw")).where("length(raw) > 3").select("key", F.translate("raw", "DFIQC", "OELOG").alias("word"), "raw")
+    points = names.select("key", F.forall("words", lambda w: F.length(w) < 4).alias("brief"), F.explode("words").alias("raw")).where("length(raw) > 3 or brief").select("key", F.translate("raw", "DFIQC", "OELOG").alias("word"), "raw")
     words = cut(points.select("word").distinct())
     raws = points.select("raw", "word").distinct()
     # swaps are of letters as typed; both sides are taken to the folded words

@@ -118,6 +118,13 @@ def test_lines_split_one_core(spark):
     assert got["PT Kede Dupabu"] not in (got["PT Kede Dupabu Boga"], got["PT Kede Dupabu Sentosa"])  # it may be either
 
 
+def test_names_of_short_words(spark):
+    rows = [("EKO ADI",), ("Bpk. Eko Adi",), ("Adi, Eko",), ("EKA ADI",), ("PT ABC Boga",), ("ABC BOGA",), ("PT ABD Boga",), ("PT ABC Sentosa",), ("E. Adi",)]
+    got = {x.value: x["class"] for x in spellings.spelling_classes(spark.createDataFrame(rows, "v string"), LINES, frozenset()).collect()}
+    assert got["EKO ADI"] == got["Bpk. Eko Adi"] == got["Adi, Eko"] != got["EKA ADI"]
+    assert got["PT ABC Boga"] == got["ABC BOGA"] and len({got[v] for v in ("PT ABC Boga", "PT ABD Boga", "PT ABC Sentosa")}) == 3
+
+
 def test_pairs_and_empty(spark):
     none = spellings.spelling_classes(spark.createDataFrame([], "v string"), LINES, frozenset())
     assert none.count() == 0 and spellings.spelling_pairs(none).count() == 0
