@@ -159,14 +159,40 @@ def sniff_content(content: Column) -> Column:
     )
 
 
+#: The classes of pages in order: what a page in upper case must hold all of, and what it must not hold.
+PAGE_CLASSES = (
+    ("FAKTUR_PENJUALAN", (r"(?m)^\s*FAKTUR PENJUALAN",), ()),
+    ("SLIP_MARIMARI", ("RECEIVING SLIP ORDER",), ()),
+    ("GRN_DFI", ("GOODS RECEIVE NOTE",), ()),
+    ("RJ_TIPTOP", ("RECEIVING NOTE", "SURAT JALAN", "TIP TOP"), ()),
+    ("RJ_BUDI", ("RECEIVING NOTE", "BUDI"), ()),
+    ("BPB", ("BUKTI PENERIMAAN BARANG", r"NO\. F/SJ/NPB"), ()),
+    ("REC_NOTE", ("RECEIVED NOTE", "REC NO"), ()),
+    ("RJ_MEMO", ("RECEIVING MEMO", r"\.PL\."), ()),
+    ("GR_SLIP", ("GOOD RECEIPT SLIP",), ()),
+    ("GR_BOOTS", (r"\bGOOD RECEIPT\b",), ()),
+    ("FAKTUR_PAJAK", (r"(?m)^\s*(FAKTUR PAJAK|FORM 01)", "FAKTUR PAJAK"), ("PURCHASE ORDER",)),
+    ("RECEIPT", (r"(?m)^\s*(RECEIVING NOTE|TANDA TERIMA|BUKTI PENERIMAAN BARANG)",), ()),
+    ("PURCHASE_ORDER", (r"PURCHASE ORDER|NO PO\s*:|NO\. PO\b|NOMOR P\.O|P\.O NO\b|ORDER NO\b|PO#\s*:",), ()),
+    ("RECEIPT", ("RECEIVING NOTE|TANDA TERIMA|PENERIMAAN BARANG",), ()),
+    ("VENDOR_INVOICE", (r"(?m)SALES INVOICE|^\s*INVOICE",), ()),
+)
+#: Classes that are certain by their words alone; of the others only a page with rows is.
+CERTAIN_CLASSES = ("FAKTUR_PENJUALAN", "FAKTUR_PAJAK", "PURCHASE_ORDER", "RJ_TIPTOP", "GR_BOOTS")
+
+
 def page_class(text: Column) -> Column:
-    """The class of a page: ordered rules, the first that holds."""
-    s = F.upper(text)
-    return (
-        F.when(s.rlike(r"(?m)^\s*FAKTUR PENJUALAN"), "FAKTUR_PENJUALAN").when(s.rlike(r"(?m)^\s*FAKTUR PAJAK") & ~s.contains("PURCHASE ORDER"), "FAKTUR_PAJAK")
-        .when(s.contains("PURCHASE ORDER"), "PURCHASE_ORDER").when(s.rlike(r"RECEIVING NOTE|TANDA TERIMA|PENERIMAAN BARANG"), "REC_NOTE")
-        .when(s.rlike(r"SALES INVOICE|(?m)^\s*INVOICE"), "VENDOR_INVOICE").otherwise("OTHER")
-    )
+    """The class of a page: the first of ``PAGE_CLASSES`` that holds, else OTHER."""
+    s = F.upper(F.coalesce(text, F.lit("")))
+    out = F.lit("OTHER")
+    for name, held, barred in reversed(PAGE_CLASSES):
+        c = s.rlike(held[0])
+        for p in held[1:]:
+            c = c & s.rlike(p)
+        for p in barred:
+            c = c & ~s.rlike(p)
+        out = F.when(c, name).otherwise(out)
+    return out
 
 
 #: Labels of pages and the word that gives each.

@@ -1,90 +1,58 @@
-"""Rows that are printed over several lines, and headers scanned out of whole texts.
+"""Rows and headers of invoices, read inside the page.
 
-A block layout says which line begins a row and what the lines after it hold.
-Blocks are numbered by one running count over the lines of a page, and a row is
-one aggregation over its block: no Python, and no page in one place beyond its
-own lines.
+A page is an array of its lines; a row looks at its neighbours in that array, so
+no line leaves its page before it is a row: no shuffle, no window, no Python.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerforge.functions.money import parse_money
-from ledgerforge.functions.text import id_canon, squeeze
-
+from ledgerforge.functions.text import id_canon
+from ledgerforge.operators.layouts import page_lines
 
-@dataclass(frozen=True)
-class Block:
-    """gate: which pages; start: the first line of a row; lines: (offset, pattern, columns by group); stop: what ends the last row.
+#: The lines of a tax invoice's item, and the line that ends the items.
+ITEM_PRICE, ITEM_DISCOUNT, ITEM_END = r"^Rp ?([\d.,]+) ?[xX] ?([\d.,]+)$", r"^Potongan Harga ?[:=]? ?Rp ?([\d.,]+)", r"^Harga Jual / Pengganti(?:an)?\b"
+AMOUNT, AMOUNT_NAME, AMOUNT_NO, CODE_NAME = r"^(\d[\d.]*(?:,\d+)?)$", r"^(\d[\d.]*,\d{2})(?:\d{1,3})? ?([^\d ].*)$", r"^(\d[\d.]*,\d{2})\d{1,3}$", r"^(\d{5,14}) (\S.*)$"
 
-    A line whose pattern doesn't fit leaves its columns null; ``proof`` names qty, price and total columns that must
-    multiply within 3 % for the row to count, as a block has no other mark of its end.
-    """
 
-    name: str
-    gate: str
-    start: str
-    lines: tuple[tuple[int, str, dict[str, int]], ...]
-    amounts: tuple[str, ...] = ("qty", "price", "total")
-    stop: str = r"(?i)^(grand |sub)?total|^jumlah total"
-    proof: tuple[str, str, str] | None = ("qty", "price", "total")
-
-
-#: Layouts of rows over several lines.
-BLOCKS = (
-    Block("number-code-name", r"(?m)^ITEM LIST$", r"^\d{1,3}$", ((1, r"^(\d{6,14})$", {"code": 1}), (2, r"^(.+)$", {"name": 1}), (3, r"^([\d.,]+) ([A-Z]{2,6})$", {"qty": 1, "unit": 2}), (4, r"^([\d.,]+)$", {"price": 1}), (5, r"^([\d.,]+)$", {"total": 1}))),
-    Block("position-name", r"(?m)^POS (ITEM|BARANG)$", r"^00\d0 \d{6,14}$", ((0, r"^00\d0 (\d{6,14})$", {"code": 1}), (1, r"^(.+)$", {"name": 1}), (2, r"^([\d.,]+) ([A-Z]{2,6}) ([\d.,]+) ([\d.,]+)$", {"qty": 1, "unit": 2, "price": 3, "total": 4}))),
-)
-
-
-def parse_blocks(pages: DataFrame, keys: list[str], blocks: tuple[Block, ...] = BLOCKS, text: str = "text") -> DataFrame:
-    """keys, block_no, layout, code, name, qty, unit, price, total of all rows of all layouts; the first layout with rows keeps the page."""
-    found = None
-    for order, b in enumerate(blocks):
-        gated = pages.where(F.col(text).rlike(b.gate))
-        ls = gated.select(*keys, F.posexplode(F.split(text, r"\r\n|\r|\n")).alias("n", "line")).withColumn("line", squeeze(F.col("line"))).where("line <> ''")
-        w = W.partitionBy(*keys).orderBy("n")
-        ends = F.max(F.when(F.col("line").rlike(b.stop), F.lit(1))).over(w.rowsBetween(W.unboundedPreceding, 0))
-        ls = ls.withColumn("_end", ends).where("_end is null").withColumn("block_no", F.sum(F.col("line").rlike(b.start).cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0))).where("block_no > 0")
-        ls = ls.withColumn("_at", F.row_number().over(W.partitionBy(*keys, "block_no").orderBy("n")) - 1)
-        cols = {c: (off, p, g) for off, p, gs in b.lines for c, g in gs.items()}
-        row = ls.groupBy(*keys, "block_no").agg(*[F.max(F.when((F.col("_at") == off) & F.col("line").rlike(p), F.regexp_extract("line", p, g))).alias(c) for c, (off, p, g) in cols.items()])
-        row = row.select(*keys, "block_no", F.lit(b.name).alias("layout"), F.lit(order).alias("_order"), *[((parse_money(F.col(c)) if c in b.amounts else F.col(c)) if c in cols else F.lit(None).cast("decimal(18,4)" if c in b.amounts else "string")).alias(c) for c in ("code", "name", "qty", "unit", "price", "total")])
-        if b.proof:
-            q, p, t = (F.col(c) for c in b.proof)
-            row = row.where(F.abs(q * p - t) <= F.greatest(F.lit(1).cast("decimal(18,4)"), t * F.lit("0.03").cast("decimal(4,2)")))
-        found = row if found is None else found.unionByName(row)
-    return found.withColumn("_least", F.min("_order").over(W.partitionBy(*keys))).where("_order = _least").drop("_order", "_least")
+def _neighbours(pages: DataFrame, keys: list[str], text: str, hit: str, end: str | None = None) -> DataFrame:
+    """keys, x: the lines that fit ``hit``, with the two lines before (b, a) and the one after (c); none from ``end`` on."""
+    p = pages.where(F.col(text).isNotNull()).select(*keys, page_lines(F.col(text)).alias("_l"))
+    if end:
+        p = p.withColumn("_l", F.expr(f"""slice(_l, 1, cast(coalesce(nullif(array_position(transform(_l, x -> x.s rlike r"{end}"), true), 0) - 1, size(_l)) as int))"""))
+    around = F.expr("transform(_l, (x, i) -> named_struct('n', x.n, 's', x.s, 'a', get(_l, i - 1).s, 'b', get(_l, i - 2).s, 'c', get(_l, i + 1).s))")
+    return p.select(*keys, F.explode(F.filter(around, lambda x: x["s"].rlike(hit))).alias("x"))
 
 
 def tax_invoice_items(pages: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """Items of digital tax invoices: a line ``Rp price x qty`` under the name, a discount line below it, the amount before the name.
+    """Items of digital tax invoices, up to the line of their sum: ``Rp price x qty`` stands under the name, a discount below it.
 
-    keys, line_no, name, price, qty, discount, amount, and status PASS if price x qty is the amount within 0.05 %.
+    The amount stands above the name, or before it in its line, with or without the running number glued to it; a code may
+    lead the name. keys, line_no, code, name, price, qty, discount, amount, and status PASS if price x qty is the amount
+    within 0.05 %, else MISMATCH.
     """
-    ls = pages.select(*keys, F.posexplode(F.split(text, r"\r\n|\r|\n")).alias("n", "line"))
-    w = W.partitionBy(*keys).orderBy("n")
-    p, head, cut = r"^Rp\s*([\d.,]+)\s*x\s*([\d.,]+)", r"^([\d.]+,\d{2})\s*(.*)$", r"^Potongan Harga\s*=?\s*Rp\s*([\d.,]+)"
-    one, two, after = F.lag("line", 1).over(w), F.lag("line", 2).over(w), F.lead("line", 1).over(w)
-    x = ls.withColumn("_1", one).withColumn("_2", two).withColumn("_a", after).where(F.col("line").rlike(p))
-    glued = F.col("_1").rlike(head) & (F.regexp_extract("_1", head, 2) != "")
-    name = F.when(glued, F.regexp_extract("_1", head, 2)).otherwise(F.col("_1"))
-    amount = F.when(glued, F.regexp_extract("_1", head, 1)).when(F.col("_2").rlike(head), F.regexp_extract("_2", head, 1))
-    out = x.select(*keys, (F.col("n") + 1).alias("line_no"), squeeze(name).alias("name"), parse_money(F.regexp_extract("line", p, 1)).alias("price"), parse_money(F.regexp_extract("line", p, 2)).alias("qty"), F.coalesce(parse_money(F.when(F.col("_a").rlike(cut), F.regexp_extract("_a", cut, 1))), F.lit(0).cast("decimal(18,4)")).alias("discount"), parse_money(amount).alias("amount"))
+    x = _neighbours(pages, keys, text, ITEM_PRICE, ITEM_END)
+    g = lambda c, p, i: F.when(F.col(f"x.{c}").rlike(p), F.regexp_extract(f"x.{c}", p, i))
+    name = F.coalesce(g("a", AMOUNT_NAME, 2), g("a", CODE_NAME, 2), F.col("x.a"))
+    amount = F.coalesce(g("a", AMOUNT_NAME, 1), g("b", AMOUNT_NO, 1), g("b", AMOUNT, 1), g("b", r"^(\d[\d.]*,\d{2})", 1))
+    out = x.select(
+        *keys, F.col("x.n").alias("line_no"), g("a", CODE_NAME, 1).alias("code"), F.trim(name).alias("name"), parse_money(F.regexp_extract("x.s", ITEM_PRICE, 1)).alias("price"), parse_money(F.regexp_extract("x.s", ITEM_PRICE, 2)).alias("qty"),
+        F.coalesce(parse_money(g("c", ITEM_DISCOUNT, 1)), F.lit(0).cast("decimal(18,4)")).alias("discount"), parse_money(amount).alias("amount"),
+    )
     fits = F.abs(F.col("price") * F.col("qty") - F.col("amount")) <= F.greatest(F.lit("0.01").cast("decimal(18,4)"), F.col("amount") * F.lit("0.0005").cast("decimal(6,4)"))
     return out.withColumn("status", F.when(fits, "PASS").otherwise("MISMATCH"))
 
 
-#: Patterns of a tax invoice's header: what is taken where it stands first.
+#: Where the facts of a tax invoice stand. What a page prints of both sides stands for the buyer first, then for the seller.
 TAX_HEADER = {
-    "serial": r"(?i)kode dan nomor seri[^:\n]*:\s*([\d.\-]+)", "base": r"(?i)dasar pengenaan pajak\s*:?\s*(?:rp)?\s*([\d.,]+)", "tax": r"(?i)(?:total|jumlah) ppn[^\d\n]*([\d.,]+)",
-    "reference": r"(?i)referensi\s*:?\s*\(?([A-Z0-9/\-]+)", "seller_id": r"(?is)npwp\s*:?\s*([\d.\-]{15,})", "date": r"(?i)(\d{1,2} (?:januari|februari|maret|april|mei|juni|juli|agustus|september|oktober|november|desember) \d{4})",
+    "serial": r"(?i)kode dan nomor seri[^:\n]*:\s*([\d.\-]+)", "base": r"(?im)^ ?dasar pengenaan pajak ?[:*]? ?(?:rp)? ?([\d.,]+)", "tax": r"(?i)(?:total|jumlah) ppn[^\d\n]*([\d.,]+)",
+    "reference": r"(?i)referensi\s*:?\s*\(?([A-Z0-9/\-]+)", "paid": r"(?m)^(\d+/?SOR\d+)", "date": r"(?i)(\d{1,2} (?:januari|februari|maret|april|mei|juni|juli|agustus|september|oktober|november|desember) \d{4})",
+    "gross": r"(?im)^harga jual / pengganti(?:an)? ([\d.,]+)", "discount": r"(?im)^([\d.,]+) ?dikurangi potongan harga", "advance": r"(?im)^([\d.,]+) ?dikurangi uang muka", "tax_other": r"(?im)^([\d.,]+) ?dikurangi ppn yang harus dibayar",
 }
+TAX_SIDES = {"id": r"(?im)^npwp ?: ?([\d.\-/ ]+)", "unit": r"(?im)^nitku ?: ?([\d ]+)", "name": r"(?im)^nama ?: ?([^\n]+)\nalamat", "address": r"(?im)^alamat ?: ?([^\n]+)"}
 
 
 def scan_header(docs: DataFrame, keys: list[str], patterns: dict[str, str], text: str = "text") -> DataFrame:
@@ -93,20 +61,44 @@ def scan_header(docs: DataFrame, keys: list[str], patterns: dict[str, str], text
 
 
 def tax_header(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """The header of tax invoices with typed amounts and a canonical tax number."""
-    h = scan_header(docs, keys, TAX_HEADER, text)
-    return h.withColumn("base", parse_money(F.col("base"))).withColumn("tax", parse_money(F.col("tax"))).withColumn("seller_id", id_canon(F.col("seller_id")))
+    """The header of tax invoices: TAX_HEADER, and id, unit, name and address of ``buyer_`` and ``seller_``; amounts typed, tax numbers canonical."""
+    both = {f"{side}_{n}": F.nullif(F.trim(F.get(F.regexp_extract_all(text, F.lit(p), 1), F.lit(i))), F.lit("")) for i, side in enumerate(("buyer", "seller")) for n, p in TAX_SIDES.items()}
+    h = docs.select(*keys, *[F.nullif(F.regexp_extract(text, p, 1), F.lit("")).alias(n) for n, p in TAX_HEADER.items()], *[c.alias(n) for n, c in both.items()])
+    for c in ("base", "tax", "gross", "discount", "advance", "tax_other"):
+        h = h.withColumn(c, parse_money(F.col(c)))
+    return h.withColumn("buyer_id", id_canon(F.col("buyer_id"))).withColumn("seller_id", id_canon(F.col("seller_id")))
+
+
+#: A sales-invoice line, what its following line must not be, and a pack at the end of a name.
+INVOICE_LINE = r"^(\d{7}) (?:\d{4,10} )?(.+?) (\d+) ?/ ?(\d+) (.+)$"
+NO_NAME = r"(?i)^(?:\d{7} |total|dasar|ppn|subtotal|cap|jumlah|dpp)"
+PACK = r"((?:\d+ ?[Xx] ?)+[\d.]+ ?(?:ML|GR|G|KG|L|CC))$"
 
 
 def invoice_lines(pages: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """Sales-invoice lines ``code name carton/pieces ... seven numbers``: price, five discounts and amount from the end; a line without code continues the name."""
-    ls = pages.select(*keys, F.posexplode(F.split(text, r"\r\n|\r|\n")).alias("n", "line"))
-    after = F.lead("line").over(W.partitionBy(*keys).orderBy("n"))
-    p = r"^(\d{7})\s+(.+?)\s+(\d+)\s*/\s*(\d+)\s+((?:[\d.,]+\s*){7})$"
-    nums = F.split(F.trim(F.regexp_extract("line", p, 5)), r"\s+")
-    x = ls.withColumn("_a", after).where(F.col("line").rlike(p))
-    more = F.when(F.col("_a").rlike(r"^[A-Z]") & ~F.col("_a").rlike(r"\d{4,}|(?i)^(total|jumlah|dpp|ppn)"), F.concat(F.lit(" "), F.trim("_a"))).otherwise("")
-    return x.select(*keys, F.regexp_extract("line", p, 1).alias("code"), F.concat(F.regexp_extract("line", p, 2), more).alias("name"), F.regexp_extract("line", p, 3).cast("int").alias("cartons"), F.regexp_extract("line", p, 4).cast("int").alias("pieces"), parse_money(nums[0]).alias("price"), *[parse_money(nums[i]).alias(f"disc_{i}") for i in range(1, 6)], parse_money(nums[6]).alias("amount"))
+    """Sales-invoice lines ``code name carton/pieces ... numbers``: price, five discounts and amount are the last seven numbers.
+
+    The line after it continues the name unless it begins a row or a sum; a pack that ends the name is split off. A line
+    with fewer numbers is no row.
+    """
+    x = _neighbours(pages, keys, text, INVOICE_LINE)
+    part = lambda i: F.regexp_extract("x.s", INVOICE_LINE, i)
+    nums = F.regexp_extract_all(part(5), F.lit(r"((?<![A-Za-z\d])\d[\d.,]*)"), 1)
+    more = F.when(F.col("x.c").rlike("[A-Za-z]") & ~F.col("x.c").rlike(NO_NAME) & ~F.col("x.c").rlike(r"\d{4,}"), F.col("x.c"))
+    whole = F.concat_ws(" ", part(2), more)
+    out = x.select(*keys, F.col("x.n").alias("line_no"), part(1).alias("code"), F.trim(F.regexp_replace(whole, PACK, "")).alias("name"), F.nullif(F.regexp_extract(whole, PACK, 1), F.lit("")).alias("pack"), part(3).cast("int").alias("cartons"), part(4).cast("int").alias("pieces"), nums.alias("_n")).where("size(_n) >= 7")
+    at = lambda k: parse_money(F.element_at("_n", k - 8))
+    return out.select(*keys, "line_no", "code", "name", "pack", "cartons", "pieces", at(1).alias("price"), *[at(i + 1).alias(f"disc_{i}") for i in range(1, 6)], at(7).alias("amount"))
+
+
+#: The sums at the foot of a sales-invoice page.
+FOOTER = {"base": r"(?i)(?:dasar pengenaan pajak|dpp) ?:? ?([\d.,]+)", "tax": r"(?im)^ppn? ?:? ?([\d.,]+)", "total": r"(?m)^TOTAL ?:? ?([\d.,]+)"}
+
+
+def invoice_footers(pages: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """keys, base, tax, total of the pages that print any of them: the row of a page's sums."""
+    f = scan_header(pages, keys, FOOTER, text)
+    return f.select(*keys, *[parse_money(F.col(c)).alias(c) for c in FOOTER]).where("base is not null or tax is not null or total is not null")
 
 
 def children(ranges: DataFrame, pages: DataFrame, doc: str, page: str = "page") -> DataFrame:

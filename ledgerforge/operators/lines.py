@@ -1,15 +1,12 @@
-"""Pages, lines and the rows parsed from them.
+"""Pages, their lines, and rows read from lines without a layout.
 
-Layouts are a table of rules, not functions: a page belongs to the first layout,
-by priority, that yields rows, which one window over the matches decides. Only
-the free tokenizer needs Python, batched by Arrow.
+Only the free tokenizer needs Python, batched by Arrow.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -47,56 +44,6 @@ def explode_lines(pages: DataFrame, keys: list[str], text: str = "text") -> Data
     return pages.select(*keys, F.posexplode(F.split(text, r"\r\n|\r|\n")).alias("line_no", "line")).withColumn("line_no", F.col("line_no") + 1)
 
 
-@dataclass(frozen=True)
-class Layout:
-    """One single-line layout: pages that match ``gate``, lines that match ``line``, what its groups are.
-
-    columns: name -> group number; amounts: the names that are amounts. Lower priority comes first.
-    """
-
-    name: str
-    priority: int
-    gate: str
-    line: str
-    columns: dict[str, int]
-    amounts: tuple[str, ...] = ("qty", "price", "total")
-
-
-#: Layouts of printed tables: number, code, name, quantity, unit, price, total.
-LAYOUTS = (
-    Layout("code-name-qty-unit", 10, r"(?m)^(NO ITEM QTY|No Kode|Line SKU)", r"^(\d+) (\d{6,14}) (.+?) ([\d.,]+) ([A-Z]{2,5}) ([\d.,]+) ([\d.,]+)$", {"no": 1, "code": 2, "name": 3, "qty": 4, "unit": 5, "price": 6, "total": 7}),
-    Layout("piped", 12, r"(?m)^\|? *(NO|No) *\|", r"^\| *(\d+) *\| *(\d{6,14}) *\| *([^|]+?) *\| *([\d.,]+) *\| *([A-Z]{2,6}) *\| *([\d.,]+) *\| *([\d.,]+) *\|?$", {"no": 1, "code": 2, "name": 3, "qty": 4, "unit": 5, "price": 6, "total": 7}),
-    Layout("barcode", 14, r"(?m)^BARCODE ", r"^(\d{13}) (.+?) ([\d.,]+) ([A-Z]{2,6}) ([\d.,]+) ([\d.,]+) ([\d.,]+)$", {"code": 1, "name": 2, "qty": 3, "unit": 4, "price": 5, "discount": 6, "total": 7}, ("qty", "price", "discount", "total")),
-    Layout("unit-slash", 16, r"(?m)^(SKU|PLU) ", r"^(\d{6,14}) (.+?) (\d+)/([A-Z]{2,6}) ([\d.,]+) ([\d.,]+)$", {"code": 1, "name": 2, "qty": 3, "unit": 4, "price": 5, "total": 6}),
-    Layout("code-name-qty", 20, r"(?m)^(NO ITEM|No Kode|Line SKU)", r"^(\d+) (\d{6,14}) (.+?) (\d+) ([\d.,]+) ([\d.,]+)$", {"no": 1, "code": 2, "name": 3, "qty": 4, "price": 5, "total": 6}),
-    Layout("received", 30, r"(?m)^(RECEIVING NOTE|TANDA TERIMA|BUKTI PENERIMAAN BARANG)", r"^(\d+) (\d{6,14}) (.+?) ([\d.,]+) ([A-Z]{2,5})$", {"no": 1, "code": 2, "name": 3, "qty": 4, "unit": 5}),
-)
-
-
-def parse_layouts(pages: DataFrame, keys: list[str], layouts: tuple[Layout, ...] = LAYOUTS, text: str = "text") -> DataFrame:
-    """Rows of all pages: keys, line_no, layout, and the columns of the layouts; ``qty`` with a point is a decimal.
-
-    The lines of a page are read once; each rule is an expression over them, and the first rule that
-    yields any row keeps the page.
-    """
-    gated = pages.select(*keys, F.array(*[F.col(text).rlike(r.gate) for r in layouts]).alias("_gates"), F.col(text).alias("text"))
-    lines = gated.select(*keys, "_gates", F.posexplode(F.split("text", r"\r\n|\r|\n")).alias("line_no", "line")).withColumn("line_no", F.col("line_no") + 1)
-    names = list(dict.fromkeys(n for r in layouts for n in r.columns))
-    def match(i: int, r: Layout) -> Column:
-        """The row of a line under one rule. All groups come out of one more run of the pattern, not one each."""
-        size = max(r.columns.values())
-        parts = F.split(F.regexp_replace("line", r.line, "\u0001".join(f"${g}" for g in range(1, size + 1))), "\u0001")
-        row = lambda g: F.struct(F.lit(r.priority).alias("priority"), F.lit(r.name).alias("layout"), *[(g[r.columns[n] - 1] if n in r.columns else F.lit(None).cast("string")).alias(n) for n in names])
-        return F.when(F.col("_gates")[i] & F.col("line").rlike(r.line), F.transform(F.array(parts), row)[0])
-
-    hit = F.array(*[match(i, r) for i, r in enumerate(layouts)])
-    found = lines.select(*keys, "line_no", F.explode(F.filter(hit, lambda x: x.isNotNull())).alias("r"))
-    won = found.withColumn("_least", F.min("r.priority").over(W.partitionBy(*keys))).where("r.priority = _least")
-    amounts = {n for r in layouts for n in r.amounts}
-    cols = [((F.when(F.col("r.qty").rlike(r"^\d+\.\d+$"), F.col("r.qty").try_cast("decimal(18,4)")).otherwise(parse_money(F.col("r.qty")))) if n == "qty" else parse_money(F.col(f"r.{n}")) if n in amounts else F.col(f"r.{n}")).alias(n) for n in names]
-    return won.select(*keys, "line_no", "r.layout", *cols)
-
-
 def tail_numbers(c: Column, n: int) -> Column:
     """The last n numbers of a line as amounts; null if it has fewer."""
     found = F.regexp_extract_all(c, F.lit(r"(\d[\d.,]*\d|\d)"), 1)
@@ -153,8 +100,12 @@ def read_item(line: str | None) -> tuple[str, str, float, float, float] | None:
     return None
 
 
-def tokenize_items(lines: DataFrame, keys: list[str], line: str = "line") -> DataFrame:
-    """Items of free lines: keys, code, name, qty, price, total; repeated items of one key are one."""
+def tokenize_items(lines: DataFrame, keys: list[str], line: str = "line", once: bool = True) -> DataFrame:
+    """Items of free lines: keys, code, name, qty, price, total; with ``once`` repeated items of one key are one.
+
+    Only lines that hold three numbers and a letter reach Python.
+    """
+    lines = lines.where(F.col(line).rlike(r"\d\S*\s.*\d\S*\s.*\d") & F.col(line).rlike(r"\p{L}"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lines.select(*keys).schema) + ", code string, name string, qty double, price double, total double"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -167,7 +118,7 @@ def tokenize_items(lines: DataFrame, keys: list[str], line: str = "line") -> Dat
             yield out
 
     items = lines.select(*keys, F.col(line).alias("_line")).mapInPandas(run, schema)
-    return items.dropDuplicates([*keys, "code", "name", "qty", "total"])
+    return items.dropDuplicates([*keys, "code", "name", "qty", "total"]) if once else items
 
 
 def split_glued(text: str | None) -> tuple[str, float, float, float] | None:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerforge.plans import checks, ordered, relations, scalars, streams
+from ledgerforge.plans import checks, ordered, printed, relations, scalars, streams
 from ledgerforge.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
-for _module in (scalars, checks, ordered, relations, streams):
+for _module in (scalars, checks, ordered, printed, relations, streams):
     QUERIES.update(_module.query.queries)
     SQL.update(_module.query.sql)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerforge.functions import text
-from ledgerforge.operators import lines, windows
+from ledgerforge.operators import layouts, lines, windows
 from ledgerforge.operators.lines import explode_pages
 from ledgerforge.plans.registry import Registry
 from ledgerforge.session import table
@@ -97,14 +97,14 @@ m AS (SELECT doc_id, line_no, regexp_extract(line, '{_LINE}', 2) AS code, regexp
   regexp_extract(line, '{_LINE}', 6) AS p, regexp_extract(line, '{_LINE}', 7) AS t FROM l WHERE regexp_matches(line, '{_LINE}'))
 SELECT doc_id, line_no, code, name, unit, CASE WHEN regexp_matches(q, '^\d+\.\d+$') THEN try_cast(q AS DECIMAL(18,4)) ELSE {_money_sql('q')} END AS qty, {_money_sql('p')} AS price, {_money_sql('t')} AS total FROM m""")
 def layout_rows(spark: SparkSession, d: str) -> DataFrame:
-    rows = lines.parse_layouts(table(spark, d, "documents").select("doc_id", "text"), ["doc_id"], lines.LAYOUTS[:1])
+    rows = layouts.parse_layouts(table(spark, d, "documents").select("doc_id", "text"), ["doc_id"], layouts.LAYOUTS[:1])
     return rows.select("doc_id", "line_no", "code", "name", "unit", "qty", "price", "total")
 
 
 @query()
 def layout_chain(spark: SparkSession, d: str) -> DataFrame:
     """All layouts, the first one with rows winning each page."""
-    return lines.parse_layouts(table(spark, d, "documents").select("doc_id", "text"), ["doc_id"]).select("doc_id", "line_no", "layout", "code", "name", "qty", "unit", "price", "total")
+    return layouts.parse_layouts(table(spark, d, "documents").select("doc_id", "text"), ["doc_id"]).select("doc_id", "line_no", "layout", "code", "name", "qty", "unit", "price", "discount", "total")
 
 
 @query(rf"""WITH l AS (SELECT doc_id, CAST(generate_subscripts(string_split(text, chr(10)), 1) AS INTEGER) AS line_no, regexp_extract_all(unnest(string_split(text, chr(10))), '(\d[\d.,]*\d|\d)', 1) AS n FROM documents)

@@ -184,11 +184,10 @@ def layout_signature(spark: SparkSession, d: str) -> DataFrame:
     return first.groupBy("signature").agg(F.count("*").alias("n_documents")).withColumn("variant", text.variant_key(F.col("signature"), F.lit("SELF")))
 
 
-@query(r"""
-WITH t AS (SELECT doc_id, upper(text) AS s FROM documents)
-SELECT doc_id, CASE WHEN regexp_matches(s, '(?m)^\s*FAKTUR PENJUALAN') THEN 'FAKTUR_PENJUALAN' WHEN regexp_matches(s, '(?m)^\s*FAKTUR PAJAK') AND NOT contains(s, 'PURCHASE ORDER') THEN 'FAKTUR_PAJAK'
-  WHEN contains(s, 'PURCHASE ORDER') THEN 'PURCHASE_ORDER' WHEN regexp_matches(s, 'RECEIVING NOTE|TANDA TERIMA|PENERIMAAN BARANG') THEN 'REC_NOTE'
-  WHEN regexp_matches(s, '(?m)SALES INVOICE|^\s*INVOICE') THEN 'VENDOR_INVOICE' ELSE 'OTHER' END AS class FROM t""")
+_CLASS_SQL = " ".join("WHEN " + " AND ".join([*(f"regexp_matches(s, '{p}')" for p in held), *(f"NOT regexp_matches(s, '{p}')" for p in barred)]) + f" THEN '{n}'" for n, held, barred in text.PAGE_CLASSES)
+
+
+@query(f"SELECT doc_id, CASE {_CLASS_SQL} ELSE 'OTHER' END AS class FROM (SELECT doc_id, upper(coalesce(text, '')) AS s FROM documents)")
 def page_classify(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", text.page_class(F.col("text")).alias("class"))
 

@@ -13,7 +13,7 @@ from ledgerforge.functions.dates import parse_date
 from ledgerforge.functions.money import format_id, parse_money
 from ledgerforge.functions.status import add_tag
 from ledgerforge.functions.text import page_text, sniff_content
-from ledgerforge.operators import audit, blocks, external, gates, learn, lines, merge, windows
+from ledgerforge.operators import audit, blocks, external, gates, learn, lines, merge, windows, layouts
 from ledgerforge.plans import catalogue, generic
 from ledgerforge.plans.pipeline import map_documents
 from ledgerforge.sources import files
@@ -161,7 +161,7 @@ def test_render_and_parse(spark):
     """Rows printed in each style and parsed back are the rows."""
     rows = [(f"10{i:05d}", f"ITEM {i} KIKIR", i + 1, 1000 + 37 * i) for i in range(60)]
     pages = spark.createDataFrame([(1, render(rows, "en")), (2, render(rows, "id")), (3, "nothing"), (4, None)], "doc_id int, text string")
-    got = lines.parse_layouts(pages, ["doc_id"]).toPandas()
+    got = layouts.parse_layouts(pages, ["doc_id"]).toPandas()
     assert len(got) == 120
     for d in (1, 2):
         g = got[got.doc_id == d].sort_values("line_no")
@@ -185,29 +185,29 @@ BLOCK_STYLES = {
 def test_every_layout_round_trip(spark):
     rows = [(f"10{i:05d}", f"ITEM {'ABCDEFGH'[i]} KIKIR", i + 1, 1000 + 37 * i) for i in range(8)]
     pages = spark.createDataFrame([(k, f(rows)) for k, f in STYLES.items()], "doc_id string, text string")
-    got = lines.parse_layouts(pages, ["doc_id"]).toPandas()
+    got = layouts.parse_layouts(pages, ["doc_id"]).toPandas()
     for k in STYLES:
         g = got[got.doc_id == k].sort_values("line_no")
         assert set(g.layout) == {k} and [(n, int(q)) for n, q in zip(g.name, g.qty)] == [(n, q) for _, n, q, _ in rows]
         if k != "received":
             assert (g.total.astype(float) == [q * p for *_, q, p in rows]).all()
     pages = spark.createDataFrame([(k, f(rows)) for k, f in BLOCK_STYLES.items()] + [("none", "x"), ("null", None)], "doc_id string, text string")
-    got = blocks.parse_blocks(pages, ["doc_id"]).toPandas()
+    got = layouts.parse_layouts(pages, ["doc_id"]).toPandas()
     for k in BLOCK_STYLES:
-        g = got[got.doc_id == k].sort_values("block_no")
+        g = got[got.doc_id == k].sort_values("line_no")
         assert [(c, n, int(q), int(p)) for c, n, q, p in zip(g.code, g.name, g.qty, g.price)] == rows
     assert set(got.doc_id) == set(BLOCK_STYLES)
     broken = BLOCK_STYLES["position-name"](rows).replace("1,000.00 1,000.00", "1,000.00 9,000.00")
-    assert blocks.parse_blocks(spark.createDataFrame([("b", broken)], "doc_id string, text string"), ["doc_id"]).count() == 7
+    assert layouts.parse_layouts(spark.createDataFrame([("b", broken)], "doc_id string, text string"), ["doc_id"]).count() == 7
 
 
 def test_tax_invoice(spark):
-    text = "Kode dan Nomor Seri Faktur Pajak: 010.002-25.12345678\nNPWP : 01.234.567.8-901.000\n1\n300.000,00\nSISIR BLACK\nRp 100.000,00 x 3,00\nPotongan Harga = Rp 5.000,00\n2\n50.000,00 KIKIR\nRp 25.000,00 x 2,00\n3\n9,00\nSALAH\nRp 1,00 x 2,00\nDasar Pengenaan Pajak 345.000,00\nTotal PPN 37.950,00\nKOTA, 7 Agustus 2025\n(Referensi: SOR2500001)"
+    text = "Kode dan Nomor Seri Faktur Pajak: 010.002-25.12345678\nNPWP : 09.876\nNPWP : 01.234.567.8-901.000\n1\n300.000,00\nSISIR BLACK\nRp 100.000,00 x 3,00\nPotongan Harga = Rp 5.000,00\n2\n50.000,00 KIKIR\nRp 25.000,00 x 2,00\n3\n9,00\nSALAH\nRp 1,00 x 2,00\nDasar Pengenaan Pajak 345.000,00\nTotal PPN 37.950,00\nKOTA, 7 Agustus 2025\n(Referensi: SOR2500001)"
     docs = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id int, text string")
     got = [(r.name, float(r.price), float(r.qty), float(r.discount), float(r.amount), r.status) for r in blocks.tax_invoice_items(docs, ["doc_id"]).orderBy("line_no").collect()]
     assert got == [("SISIR BLACK", 100000, 3, 5000, 300000, "PASS"), ("KIKIR", 25000, 2, 0, 50000, "PASS"), ("SALAH", 1, 2, 0, 9, "MISMATCH")]
     h = blocks.tax_header(docs, ["doc_id"]).orderBy("doc_id").collect()
-    assert (h[0].serial, float(h[0].base), float(h[0].tax), h[0].date, h[0].seller_id) == ("010.002-25.12345678", 345000, 37950, "7 Agustus 2025", "12345678901000")
+    assert (h[0].serial, float(h[0].base), float(h[0].tax), h[0].date, h[0].seller_id) == ("010.002-25.12345678", 345000, 37950, "7 Agustus 2025", "12345678901000") and h[0].buyer_id == "9876"
     assert h[1].serial is None and h[2].base is None
 
 
@@ -217,6 +217,27 @@ def test_invoice_lines(spark):
     assert [(r.code, r.name, r.cartons, r.pieces, float(r.price), float(r.disc_1), float(r.amount)) for r in got] == [("1000229", "TIQURO SPONS LEMBUT BESAR", 14, 6, 20050, 48120, 232580), ("1000230", "SISIR", 2, 0, 1000, 0, 2000)]
 
 
+def test_layout_edges(spark):
+    """Positions from 0100 on, long orders, a proof that fails, nulls and blanks; price and discount that changed places."""
+    rows = [(f"A{i:0>11}", "SISIR BESAR", i + 1, 1500 + i) for i in range(120)]
+    vertical = "\n".join(["PURCHASE ORDER", *(f"{(i + 1) * 10:0>5}\n{c}\n{n}\n{q}\nEA\n0\n{p:,.2f}\n{q * p:,.2f}" for i, (c, n, q, p) in enumerate(rows)), "Total :"])
+    swap = "PURCHASE ORDER\n10 30335668 HL 2,00 KAR/12/ 0 451.892 903.784\n(8990000000001)\nKIKIR\n20 30335669 HL 1,00 EA 500 100 450"
+    wrong = "PURCHASE ORDER\nPOS ITEM\n0010 12345678\nGULA\n3 PCS 1.000 9.000"
+    pages = spark.createDataFrame([(1, vertical), (2, swap), (3, wrong), (4, None), (5, ""), (6, " \n ")], "doc_id int, text string")
+    got = layouts.parse_layouts(pages, ["doc_id"]).toPandas()
+    g = got[got.doc_id == 1].sort_values("line_no")
+    assert [(c, n, int(q), int(p)) for c, n, q, p in zip(g.code, g.name, g.qty, g.price)] == rows
+    g = got[got.doc_id == 2].sort_values("line_no")
+    assert [(n, float(p), float(d)) for n, p, d in zip(g.name, g.price, g.discount)][0] == ("KIKIR", 451892, 0)
+    assert set(got.doc_id) == {1, 2}
+
+
+def test_facts_of_a_page(spark):
+    pages = spark.createDataFrame([(1, "x\nPT OWN FIRM TBK\nCV MAJU JAYA SENTOSA\nSurat"), (2, None), (3, "halo")], "doc_id int, text string")
+    got = {r.doc_id: r.company for r in layouts.first_company(pages, ["doc_id"], "OWN FIRM").collect()}
+    assert got == {1: "CV MAJU JAYA SENTOSA", 2: None, 3: None}
+
+
 def test_children_and_envelope(spark, sf):
     r = spark.createDataFrame([("a", "X", 1, 2), ("a", "Y", 3, 3)], "doc string, label string, start_page int, end_page int")
     p = spark.createDataFrame([("a", i) for i in (1, 2, 3)] + [("b", 1)], "doc string, page int")
@@ -267,7 +288,7 @@ def test_every_page_class_gives_rows(spark):
     assert got["faktur_penjualan"] == [(1, "SABUN CAIR", 3.0, 100.0, 14900.0, "OK"), (1, "SIKAT", None, 0.0, 10000.0, "VERIFY")]
     assert got["faktur_pajak"] == [(2, "MINYAK GORENG", 12.0, 0.0, 1200.0, "OK")]
     assert got["po_customer"] == [(3, "GULA PASIR", 3.0, 0.0, 3000.0, "OK"), (4, "KOPI", 3.0, 300.0, 2700.0, "OK"), (5, "Kecap Manis", 4.0, 0.0, 10000.0, "OK")]
-    assert sorted(tuple(r) for r in tabs["review"].collect()) == [(6, 1, 4), (7, 1, 0)]
+    assert sorted(tuple(r) for r in tabs["review"].collect()) == [(6, 1, 4, "OTHER", "LOW"), (7, 1, 0, "OTHER", "LOW")]
 
 
 def test_fixpoint_of_a_hot_order(spark, tmp_path):
