@@ -2,17 +2,20 @@
 
 The gross amount of a line over its piece price and its quantity is the number
 of pieces (of loose goods: kilograms or litres) that one unit of ``qty`` holds.
-Its logarithm, over the history of one product, is a step function: an exact
-penalised changepoint search (optimal partitioning with PELT pruning, squared
-error) finds the steps; a level that equals a known factor (piece, dozen,
+Its logarithm, over the history of one product, is a step function with noise:
+an exact penalised changepoint search (optimal partitioning with PELT pruning,
+squared error) finds the steps; a level that equals a known factor (piece, dozen,
 inner pack, carton, hundredweight ...) names the unit of its segment, and the
-change of unit is reversed. Lines without a price are read from the unit that
-their text names.
+change of unit is reversed. The price of a step comes from the history's own
+noise, as the Bayesian information criterion has it: exact books keep every
+change of unit, rounded or sloppy ones are read by the level of their segment, so
+a line whose own ratio is off has the unit of the lines around it. Lines without
+a price are read from the unit that their text names.
 
-A history is read in order of id out of range-partitioned, sorted data, in
-Arrow batches, so a product that holds a third of all rows is spread over many
-tasks. A history cut at the edge of a batch yields the same levels on both
-sides: segments are exact for each piece, and a constant piece has one level.
+A history is read in order of id out of range-partitioned, sorted data, so a
+product that holds a third of all rows is spread over many tasks. Inside a task
+a history runs on over Arrow batches: the last two segments of a batch wait for
+the next one, up to ``MOST_HELD`` rows. It is cut where one task ends.
 
 Defined results: rows with null or non-positive qty, with no pack and no unit in
 their text, or whose unit is neither named nor proved, yield no row; a null
@@ -40,6 +43,10 @@ MEASURES: dict[str, tuple[str, float]] = {
     "ML": ("ml", 1), "CC": ("ml", 1), "MILILITER": ("ml", 1), "CL": ("ml", 10), "DL": ("ml", 100),
     "L": ("ml", 1000), "LT": ("ml", 1000), "LTR": ("ml", 1000), "LITER": ("ml", 1000), "LITRE": ("ml", 1000), "LITTER": ("ml", 1000),
 }
+#: Rows of an unfinished history that wait for the next batch; a segment longer than that has a level that more rows hardly move.
+MOST_HELD = 20_000
+#: The least price of a step: of noise below a thousandth.
+LEAST_PENALTY = 1e-6
 PIECES = ("PCS", "PC", "BH", "BUAH", "BIJI", "BJ", "EA", "EACH", "PIECE", "PIECES")
 FIXED_COUNTS = {"LSN": 12, "LUSIN": 12, "DOZEN": 12, "DOZ": 12, "DZ": 12, "GROS": 144, "GRS": 144, "GROSS": 144, "KODI": 20}
 CARTONS = ("KRT", "KARTON", "CTN", "CARTON", "DUS", "DOS", "KTN", "CASE", "KAR", "CAR")
@@ -141,27 +148,43 @@ def _factor(level: float, known: tuple[float, ...], tolerance: float) -> float |
     return min(fits, key=lambda f: abs(level - math.log(f))) if fits else None
 
 
-def read_units(pdf: pd.DataFrame, penalty: float, tolerance: float) -> pd.DataFrame:
-    """id, base_unit, base_qty, unit_factor and proof of rows sorted by source and id."""
+def _penalty(y: np.ndarray, known: list[tuple[float, ...]]) -> float:
+    """3 s^2 log n, s being the noise of a history: the median distance of its values from the nearest known factor, as a standard deviation."""
+    off = [min(abs(v - math.log(f)) for f in fs if f > 0) for v, fs in zip(y, known)]
+    near = [x for x in off if x < 0.35]  # farther away no factor is meant
+    noise = 1.4826 * float(np.median(near)) if near else 0.0
+    return max(LEAST_PENALTY, 3.0 * noise * noise * math.log(max(len(y), 2)))
+
+
+def read_units(pdf: pd.DataFrame, tolerance: float, penalty: float | None = None, last: bool = True) -> tuple[pd.DataFrame, int]:
+    """(id, base_unit, base_qty, unit_factor, proof of rows sorted by source and id, row from which the last history is unfinished).
+
+    last: no more rows follow, so all are finished. penalty: the price of a step, of the history's noise if None.
+    """
     packs = [read_pack(k) if k else (None, 0.0, 0, 0, None) for k in pdf["kemasan"].fillna("")]
     names = [read_pack(k) if k else (None, 0.0, 0, 0, None) for k in pdf["nama_produk"].fillna("")]
+    given = [a if a[2] or a[1] else b for a, b in zip(packs, names)]
+    known = [(1.0, 12.0, 144.0, 20.0, float(g[2]), float(g[3])) for g in given]
     with np.errstate(divide="ignore", invalid="ignore"):
         y = np.log((pdf["gross"] / (pdf["harga"] * pdf["qty"])).to_numpy(dtype=float))
     usable = np.isfinite(y)
     level = np.full(len(y), np.nan)
     source = pdf["source"].to_numpy()
     edges = np.flatnonzero(np.append(True, source[1:] != source[:-1])) if len(y) else np.array([], dtype=int)
+    done = len(y)
     for a, b in zip(edges, [*edges[1:], len(y)]):
         at = a + np.flatnonzero(usable[a:b])
+        ends = changepoints(y[at], penalty if penalty is not None else _penalty(y[at], [known[i] for i in at])) if len(at) else []
         start = 0
-        for end in changepoints(y[at], penalty) if len(at) else []:
+        for end in ends:
             level[at[start:end]] = y[at[start:end]].mean()
             start = end
+        if b == len(y) and not last:
+            done = max(int(at[ends[-3]]) if len(ends) > 2 else int(a), len(y) - MOST_HELD)
     out: list[tuple] = []
-    for i, (a, b) in enumerate(zip(packs, names)):
+    for i in range(done):
+        a, b, (base, content, pack, inner, _) = packs[i], names[i], given[i]
         named = a[4] or b[4]
-        given = a if a[2] or a[1] else b
-        base, content, pack, inner = given[0], given[1], given[2], given[3]
         qty = float(pdf["qty"].iat[i])
         if named and named[0] == "#":
             loose = a if a[4] else b
@@ -171,25 +194,23 @@ def read_units(pdf: pd.DataFrame, penalty: float, tolerance: float) -> pd.DataFr
             continue
         factor = {"pcs": 1.0, "carton": float(pack), "inner": float(inner or pack)}.get(named or "", float(named) if named and named.isdigit() else 0.0)
         proof = "named" if factor else ""
-        if not math.isnan(level[i]) and (proved := _factor(level[i], (1.0, 12.0, 144.0, 20.0, float(pack), float(inner)), tolerance)):
+        if not math.isnan(level[i]) and (proved := _factor(level[i], known[i], tolerance)):
             factor, proof = proved, "proved"
         if factor and (pack or content or proof == "named"):
             out.append((pdf["id"].iat[i], base if content else "pcs", qty * factor * (content or 1.0), factor, proof))
     made = pd.DataFrame(out, columns=["id", "base_unit", "base_qty", "unit_factor", "proof"])
     made["base_qty"] = np.floor(made["base_qty"].astype(float) + 0.5).astype("int64")
-    return made
+    return made, done
 
 
 def delivered_amounts(
     lines: DataFrame,
     discounts: tuple[str, ...] = ("disc_1", "disc_2", "disc_3", "disc_4", "disc_5"),
-    penalty: float = 0.004,
     tolerance: float = 0.02,
 ) -> DataFrame:
     """Each line's amount in its base unit: id, base_unit, base_qty, unit_factor, proof (named or proved).
 
-    penalty: price of a change in squared log units; two changes around one line of factor 10 among
-    lines of factor 12 gain 0.016 at least. tolerance: how near a level must be to a known factor.
+    tolerance: how near a segment's level must be to a known factor.
     """
     number = lambda c: F.col(c).cast("double")
     gross = number("jumlah") + sum((F.coalesce(number(c), F.lit(0.0)) for c in discounts), F.lit(0.0))
@@ -200,7 +221,13 @@ def delivered_amounts(
     ordered = src.repartitionByRange("source", "id").sortWithinPartitions("source", "id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: pd.DataFrame | None = None
         for pdf in batches:
-            yield read_units(pdf.reset_index(drop=True), penalty, tolerance)
+            rows = (pdf if held is None else pd.concat([held, pdf])).reset_index(drop=True)
+            made, done = read_units(rows, tolerance, last=False)
+            held = rows.iloc[done:]
+            yield made
+        if held is not None:
+            yield read_units(held.reset_index(drop=True), tolerance)[0]
 
     return ordered.mapInPandas(run, "id bigint, base_unit string, base_qty bigint, unit_factor double, proof string")

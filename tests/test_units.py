@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ledgerforge.operators.units import changepoints, delivered_amounts, read_pack
+from ledgerforge.operators.units import changepoints, delivered_amounts, read_pack, read_units
 
 
 def best_cost(y, penalty):
@@ -97,3 +97,25 @@ def test_one_history_over_many_batches(spark):
     got = delivered_amounts(base).toPandas().set_index("id").base_qty
     want = pdf.id.map(lambda i: 20 if i % 1000 < 500 else 240 if i % 3 == 0 else 480)
     assert (got.sort_index() == want).all()
+
+
+def test_the_search_decides_in_noisy_histories():
+    """Amounts that are 5 % off around their unit: segments read nearly every line, rows on their own only some."""
+    rng = np.random.default_rng(5)
+    n = 3000
+    factor = np.repeat(rng.permutation([1.0, 24.0, 12.0] * 5), n // 15)
+    pdf = pd.DataFrame({"id": range(n), "source": "A", "kemasan": "24 X 10 GR", "nama_produk": "X", "qty": 2.0, "harga": 7.0})
+    pdf["gross"] = 14.0 * factor * np.exp(rng.normal(0, 0.05, n))
+    read = lambda **how: read_units(pdf, 0.02, **how)[0].set_index("id").unit_factor.reindex(range(n))
+    assert (read() == factor).mean() > 0.99
+    assert (read(penalty=0.0) == factor).mean() < 0.5  # every line a segment of its own
+
+
+def test_segments_run_on_over_batches():
+    """A segment that a batch cuts is finished with the next one: three noisy lines alone have no level, with the rest they have."""
+    y = [1.03, 0.96, 1.02, 0.99] * 100
+    pdf = pd.DataFrame({"id": range(400), "source": "A", "kemasan": "24 X 10 GR", "nama_produk": "X", "qty": 2.0, "harga": 7.0, "gross": [14.0 * v for v in y]})
+    made, done = read_units(pdf.iloc[:203], 0.02, last=False)
+    rest, end = read_units(pdf.iloc[done:], 0.02)
+    assert done == 0 and len(made) + len(rest) == 400 and end == 400 - done
+    assert set(pd.concat([made, rest]).unit_factor) == {1.0}
