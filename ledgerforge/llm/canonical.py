@@ -3,10 +3,11 @@
 A multi-pattern automaton over canonical names and aliases finds every mention
 embedded in a value; mentions that overlap are settled by length, the longest
 first. A value with mentions of exactly one entry is that entry's. Values
-without a mention go to token-set similarity: the words of the value against
-the words of every entry, in any order, with cut words, misread letters and one
-edit a word. What stays unmatched, or fits two entries alike, is reported with
-an empty key.
+without a mention go to token-set similarity: the set of a value's words against
+the sets of the entries that an inverted index on words, words with a slip and
+beginnings of words proposes, so a value meets the few entries that share a word
+with it and not the list. What stays unmatched, or is as similar to two entries,
+is reported with an empty key.
 
 Only distinct values are mapped, so the shuffle is one pre-aggregated distinct;
 the list is collected once and sent to the executors, behind a check of its
@@ -25,11 +26,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerforge.llm.names import MISREAD, core_distance, edit, fold, lines_agree, read_name, swapped
+from ledgerforge.llm.names import MISREAD, Name, edit, fold, lines_agree, read_name, slips, swapped, token_set_similarity
 
 #: The largest canonical list that is sent to every executor; a larger one must be joined.
 MOST_ENTRIES = 50_000
 
+#: Two names are one if every word has a partner that is at most one slip away: 0.8, two words of which one has a slip being 0.9.
+LEAST_SIMILAR = 0.8
+
 #: Spellings of units besides those of the list itself.
 UNIT_ALIASES = {
     "PCS": "PCS PC PIECE PIECES EACH EA BUAH BH BIJI BJ",
@@ -95,26 +99,61 @@ def line_words(names: list[str]) -> tuple[str, ...]:
     return tuple(sorted(w for w, n in last.items() if n > 1))
 
 
+class TokenIndex:
+    """An inverted index of names by their words: as they are, with one slip, as beginnings, and glued."""
+
+    def __init__(self, names: list[tuple[str, Name]]) -> None:
+        self.names = names
+        self.slips: dict[str, set[int]] = defaultdict(set)
+        self.heads: dict[str, set[int]] = defaultdict(set)
+        for i, (_, n) in enumerate(names):
+            for w in n.words:
+                for x in slips(w):
+                    self.slips[x].add(i)
+                f = fold(w)
+                for k in range(1, len(f) + 1):
+                    self.heads[f[:k]].add(i)
+            for x in slips("".join(n.words)):
+                self.slips[x].add(i)
+
+    def proposed(self, name: Name) -> set[int]:
+        """All entries that can be similar at ``LEAST_SIMILAR``: at least one whole word, or all of them glued, has a partner there."""
+        keys: set[str] = set()
+        for w, short in zip(name.words, name.short):
+            if not short:
+                keys |= slips(w)
+        if not any(name.short):
+            for order in (name.words, name.words[::-1]):
+                keys |= slips("".join(order))
+        out = {i for k in keys for i in self.slips.get(k, ())}
+        # where only cut words are left over, entries that begin with one of them
+        if all(s or len(w) < 4 for w, s in zip(name.words, name.short)):
+            out |= {i for w, s in zip(name.words, name.short) if s for i in self.heads.get(fold(w), ())}
+        return out
+
+    def closest(self, name: Name) -> list[tuple[float, str]]:
+        """(similarity, key) of the entries of an agreeing line of business at ``LEAST_SIMILAR`` or above."""
+        near = ((token_set_similarity(name, self.names[i][1]), self.names[i][0]) for i in self.proposed(name) if lines_agree(name, self.names[i][1]))
+        return [(s, k) for s, k in near if s >= LEAST_SIMILAR]
+
+
 def issuer_matcher(entries: list[tuple[str, str | None, str | None]], lines: tuple[str, ...] | None = None) -> Callable[[str], str]:
     """A function from a typed value to the code of (code, brand, legal name) entries, '' if none."""
     lines = lines or line_words([pt for _, _, pt in entries if pt])
     read = [(code, read_name(pt, lines)) for code, _, pt in entries if pt]
     read = [(c, n) for c, n in read if n]
     patterns: dict[str, set[str]] = defaultdict(set)
-    by_word: dict[str, set[int]] = defaultdict(set)
-    for i, (code, n) in enumerate(read):
+    for code, n in read:
         for words in (n.words, n.words[::-1]):
             for sep in (" ", ""):
                 core = sep.join(words)
                 patterns[core].add(code)
                 for line in n.lob:
                     patterns[f"{core} {line}"].add(code)
-        for w in n.words:
-            by_word[w[0]].add(i)
     for code, brand, _ in entries:
         if brand:
             patterns[brand.upper()].add(code)
-    mentions = Mentions(patterns)
+    mentions, index = Mentions(patterns), TokenIndex(read)
     name_of = dict(read)
     brands = {b.upper() for _, b, _ in entries if b}
 
@@ -133,14 +172,8 @@ def issuer_matcher(entries: list[tuple[str, str | None, str | None]], lines: tup
         codes = {c for c in codes if c in name_of and lines_agree(typed, name_of[c])}
         if len(codes) == 1:
             return codes.pop()
-        if not typed.firm and len(typed.words) == 2 and not hits and not any(w[0] in by_word for w in typed.words):
-            return ""
-        scored = [(core_distance(typed, n), c) for c, n in read if lines_agree(typed, n)]
-        scored = [x for x in scored if x[0] < 3]
-        if not scored:
-            return ""
-        least = min(scored)[0]
-        best = {c for d, c in scored if d == least}
+        scored = index.closest(typed)
+        best = {c for sim, c in scored if sim == max(scored)[0]}
         return best.pop() if len(best) == 1 else ""
 
     return match

@@ -12,6 +12,7 @@ import re
 import unicodedata
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import permutations
 
 import numpy as np
 
@@ -104,7 +105,7 @@ def lines_of(word: str, lines: tuple[str, ...]) -> tuple[frozenset[str], bool]:
 
 @lru_cache(maxsize=400_000)
 def read_name(text: str, lines: tuple[str, ...]) -> Name | None:
-    """The name in a typed value, or None if it holds none."""
+    """The name in a typed value, or None if it holds none: no word of letters but legal forms and form words, one letter alone, or initials only."""
     s = unicodedata.normalize("NFKC", text).upper()
     s = BRANCH.sub(" ", s)
     s = re.sub(r"\b([PCU])\.?\s?([TVD])\b\.?", lambda m: f" {m[1]}{m[2]} " if m[1] + m[2] in ("PT", "CV", "UD") else m[0], s)
@@ -120,7 +121,7 @@ def read_name(text: str, lines: tuple[str, ...]) -> Name | None:
         else:
             words.append(t.translate(MISREAD) if not t.isalpha() else t)
             dots.append(dot)
-    if not words or sum(map(len, words)) < 4:
+    if sum(map(len, words)) < 2:
         return None
     lob: frozenset[str] = frozenset()
     whole = False
@@ -190,6 +191,45 @@ def core_distance(a: Name, b: Name) -> int:
     return best
 
 
+def token_similarity(a: str, a_short: bool, b: str, b_short: bool) -> float:
+    """1 for words that are equal but for misread letters, or of which a cut one begins the other; 0.8 after one edit or swap; else 0."""
+    d = _both_short(a, b) if a_short and b_short and min(len(a), len(b)) < 3 else _short_fits(a, b) if a_short else _short_fits(b, a) if b_short else words_fit(a, b)
+    return (1.0, 0.8, 0.0)[d]
+
+
+def token_set_similarity(a: Name, b: Name) -> float:
+    """The words of two names as sets: the similarity of each word to its partner in the best assignment, over the larger set; 0 to 1.
+
+    Blanks don't count: sets of different size, and sets that fit better so, are also held against each other as one glued
+    word each, in every order of the shorter name's words, unless a word is cut. Names of words of up to three letters
+    are as similar as equal words make them, as one edit makes another such word.
+    """
+    if max(map(len, a.words + b.words)) < 4:
+        p, q = sorted(map(fold, a.words)), sorted(map(fold, b.words))
+        return 1.0 if p == q else 0.0
+    each = [[token_similarity(p, ps, q, qs) for q, qs in zip(b.words, b.short)] for p, ps in zip(a.words, a.short)]
+    best = _assign(each) / max(len(a.words), len(b.words))
+    if not any(a.short) and not any(b.short) and best < 1.0:
+        joined = "".join(b.words)
+        for order in permutations(a.words) if len(a.words) < 4 else (a.words, a.words[::-1]):
+            best = max(best, (1.0, 0.9, 0.0)[words_fit("".join(order), joined)])
+    return best
+
+
+def _assign(each: list[list[float]]) -> float:
+    """The best sum of an assignment of rows to columns, each used once; few words a name, so by trying."""
+    if not each or not each[0]:
+        return 0.0
+    first, rest = each[0], each[1:]
+    return max([_assign(rest)] + [v + _assign([[x for k, x in enumerate(r) if k != j] for r in rest]) for j, v in enumerate(first) if v])
+
+
+def slips(word: str) -> set[str]:
+    """The folded word, and it without each letter: two words within one edit or swap share one of these."""
+    f = fold(word)
+    return {f} | {f[:i] + f[i + 1 :] for i in range(len(f))}
+
+
 def nickname(a: Name, b: Name) -> bool:
     """One of two person names lacks the first syllable of the other's first name."""
     if len(a.words) != 2 or len(b.words) != 2 or a.firm or b.firm:
@@ -205,18 +245,59 @@ def lines_agree(a: Name, b: Name) -> bool:
     return not a.lob or not b.lob or bool(a.lob & b.lob)
 
 
+def points(name: Name) -> list[tuple[str, str]]:
+    """The points (block, word) of a name, letters that misreading confuses folded.
+
+    Two points of one block are as far apart as their words by edit distance, of two blocks infinitely far: a metric. A
+    written-out word stands in the block of the other word's initial, so a cut word or an initial has the same block as
+    what it is cut from; and in that of its second letter, which is the initial of a typist who swapped or lost the first.
+    A glued name and both joins of a written-out one stand in the blocks of their first two and their last two letters,
+    one of which a single slip leaves as they are. Persons also stand where the other name lacks its first syllable.
+    """
+    w = [fold(x) for x in name.words]
+    out = set()
+    for i, x in enumerate(w):
+        for j, y in enumerate(w):
+            if i != j and not name.short[i]:
+                out.add((y[0], x))
+                if not name.short[j]:
+                    out.add((y[1:2], x))
+                    if not name.firm and len(y) > 5:
+                        out.add((y[2], x))
+    if not any(name.short):
+        for x in ("".join(w), "".join(w[::-1])):
+            out |= {("<" + x[:2], x), (">" + x[-2:], x)}
+    return sorted(out)
+
+
 # ---- vectors of pairs ---------------------------------------------------------------------------------------
 
+#: Letters that one machine word of the bit-parallel distance holds; longer words are measured one by one.
+MOST_BITS = 63
+
 
 def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Letters of words as numbers 0..26 (0: none), at most 63, and their lengths."""
-    n = np.array([min(len(w), 63) for w in words], dtype=np.int64)
+    """Letters of words as numbers 0..27 (0: none), at most ``MOST_BITS``, and the lengths of what is encoded."""
+    n = np.array([min(len(w), MOST_BITS) for w in words], dtype=np.int64)
     out = np.zeros((len(words), int(n.max(initial=1))), dtype=np.int64)
     for i, w in enumerate(words):
-        out[i, : n[i]] = [(ord(c) - 64) if "A" <= c <= "Z" else 27 for c in w[:63]]
+        out[i, : n[i]] = [(ord(c) - 64) if "A" <= c <= "Z" else 27 for c in w[:MOST_BITS]]
     return out, n
 
 
+def distances(a: list[str], b: list[str]) -> np.ndarray:
+    """Edit distances of all words of a from all of b. Signs that are no letter count as one sign in words of up to ``MOST_BITS``, as in the words themselves."""
+    letters, n = encode([*a, *b])
+    x, y = np.repeat(np.arange(len(a)), len(b)), len(a) + np.tile(np.arange(len(b)), len(a))
+    d = edits(letters, n, x, y).reshape(len(a), len(b))
+    wide_a, wide_b = [i for i, w in enumerate(a) if len(w) > MOST_BITS], [j for j, w in enumerate(b) if len(w) > MOST_BITS]
+    for i in wide_a:
+        d[i] = [edit(a[i], w, max(len(a[i]), len(w))) for w in b]
+    for j in wide_b:
+        d[:, j] = [edit(w, b[j], max(len(w), len(b[j]))) for w in a]
+    return d
+
+
 def edits(letters: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Edit distances of the pairs (a[i], b[i]) of encoded words: bit-parallel, vectorised over pairs."""
     peq = np.zeros((len(n), 28), dtype=np.uint64)

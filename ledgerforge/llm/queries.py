@@ -12,10 +12,11 @@ from ledgerforge.session import table
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    coded = F.when(survivor.vendor_code(F.col("vendor_code")).isNotNull(), F.lit("code"))
-    rows = survivor.grouped(table(spark, d, "po_customer"), {"first": survivor.reading_order(), "code": coded})
-    won = survivor.survive(rows.withColumn("_k", F.struct("group_key", "_first_id")), "_k", {"best": F.lit("row"), "vendor_code": F.col("code")}, precedence=F.col("first"), keep=("best", "vendor_code"))
-    return won.select(F.col("_k._first_id").alias("group_first_id"), "best_id", F.coalesce("vendor_code_id", F.lit(-1)).cast("bigint").alias("vendor_code_id"))
+    """Every row of a group votes for itself as the best, and as the giver of the vendor code where it has one, by trust and age."""
+    coded = F.when(survivor.vendor_code(F.col("vendor_code")).isNotNull(), F.col("id"))
+    rows = survivor.line_groups(table(spark, d, "po_customer"), {"votes": survivor.reading_votes(), "coded": coded})
+    won = survivor.survive(rows, "group_key", {"best": F.col("id"), "vendor_code": F.col("coded")}, weight=F.col("votes"), keep=("best", "vendor_code"), least=2)
+    return won.select(F.col("first_id").alias("group_first_id"), "best_id", F.coalesce("vendor_code_id", F.lit(-1)).cast("bigint").alias("vendor_code_id"))
 
 
 def p1_survivors(spark: SparkSession, d: str) -> DataFrame:

@@ -1,16 +1,20 @@
 """Variant spellings of firms and persons, linked (problem 5).
 
-Distinct names are read into naming words and a line of business. Words within
-one edit of each other are found by metric-space partitioning: every word goes
-to the cell of its nearest pivot, and by the triangle inequality also to the
-cell of every pivot that is at most 2 r farther than the nearest, which is where
-a word within r of it may have its home; inside each cell an exact radius join
-under edit distance runs as an equi-join on the cell. Swapped neighbours, one
-edit to a typist but two to the metric, come from an equi-join on the swaps.
-
-Names that share such a word are verified word by word. Written-out names of
-one line of business, and persons, form components; a name with a cut word or
-without its line joins the one class that is nearest, none if two are.
+Distinct names are read into naming words and a line of business, and every name
+is given points in a metric space (``names.points``): a word that is written out,
+in the block of the other word's initial, under edit distance. Names that belong
+together have points within one edit of each other; the links between names are
+found by metric-space partitioning alone: a point goes to the cell of its nearest
+pivot, and by the triangle inequality also to every cell where a point within the
+radius may be at home, that is whose pivot is at most 2 r farther than the nearest
+and no farther than the cell reaches plus r. Inside each cell an exact radius join
+runs as an equi-join on the cell. Pivots grow with the square root of the points
+and stand far apart. Swapped neighbours, one slip to a typist but two edits to the
+metric, come from an equi-join on the swaps.
+
+Names with such points are verified word by word. Written-out names of one line
+of business, and persons, form components; a name with a cut word or without its
+line joins the one class that is nearest, none if two are.
 
 Defined results: null, blank and nameless values are in no class; two names of
 different lines of business are never in one class; copies of a value are one.
@@ -26,50 +30,74 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerforge.llm.graph import components
-from ledgerforge.llm.names import Name, core_distance, edits, encode, fold, lines_agree, nickname, read_name
+from ledgerforge.llm.names import Name, core_distance, distances, lines_agree, nickname, points, read_name
 from ledgerforge.session import cut
 
-#: Pivots are a bounded sample: their number is all that the driver and each task ever hold of the words.
-MOST_PIVOTS = 1024
+#: All that the driver and each task ever hold of the points: so many pivots, out of so many points sampled by hash. They balance the cells and decide nothing else.
+MOST_PIVOTS, MOST_SAMPLED = 4096, 16_384
+
+
+def choose_pivots(sample: list[tuple[str, str]], n: int) -> dict[str, list[str]]:
+    """About n pivots by block, as many as the block has of the sample: in each the point farthest from those chosen, over and over."""
+    blocks: dict[str, list[str]] = {}
+    for block, word in sample:
+        blocks.setdefault(block, []).append(word)
+    out: dict[str, list[str]] = {}
+    for block, words in sorted(blocks.items()):
+        words = sorted(set(words))
+        most = min(len(words), max(1, round(n * len(words) / max(1, len(sample)))))
+        chosen = [0]
+        far = distances(words, [words[0]])[:, 0]
+        while len(chosen) < most and far.max() > 0:
+            chosen.append(int(far.argmax()))
+            far = np.minimum(far, distances(words, [words[chosen[-1]]])[:, 0])
+        out[block] = [words[i] for i in chosen]
+    return out
+
+
+def place(pts: DataFrame, radius: int, pivots: int | None = None) -> DataFrame:
+    """(block, cell, word, home, d): every distinct point (block, word) in its home cell, and its copies in the cells that may hold a point within ``radius``."""
+    n = pivots or int(np.ceil(np.sqrt(pts.count())))
+    rows = pts.select("block", "word").orderBy(F.xxhash64("block", "word"), "block", "word").limit(MOST_SAMPLED).collect()
+    chosen = choose_pivots([(r[0], r[1]) for r in rows], min(n, MOST_PIVOTS))
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for block, g in pdf.groupby("block"):
+                near = chosen.get(block, [""])
+                for k in range(0, len(g), 512):
+                    own = g["word"].iloc[k : k + 512].tolist()
+                    d = distances(own, near)
+                    home = d.argmin(axis=1)
+                    row, cell = np.nonzero(d <= d.min(axis=1)[:, None] + 2 * radius)
+                    yield pd.DataFrame({"block": block, "cell": cell.astype("int32"), "word": [own[i] for i in row], "home": home[row] == cell, "d": d[row, cell].astype("int32")})
+
+    placed = cut(pts.select("block", "word").mapInPandas(assign, "block string, cell int, word string, home boolean, d int"))
+    # how far each cell reaches: one row a pivot
+    reach = F.broadcast(placed.where("home").groupBy("block", "cell").agg(F.min("d").alias("near"), F.max("d").alias("far")))
+    return placed.join(reach, ["block", "cell"]).where(F.col("home") | F.col("d").between(F.col("near") - radius, F.col("far") + radius)).select("block", "cell", "word", "home", "d")
 
 
-def radius_pairs(words: DataFrame, radius: int = 1, pivots: int = MOST_PIVOTS) -> DataFrame:
-    """(a, b) of all pairs of distinct words within edit distance ``radius``, a < b; words: one column ``word``.
+def radius_pairs(pts: DataFrame, radius: int = 1, pivots: int | None = None) -> DataFrame:
+    """(block, a, b) of all pairs of distinct points (block, word) of one block within edit distance ``radius``, a <= b: every point is within it of itself.
 
     Exact for every choice of pivots; they only balance the cells.
     """
-    spark = words.sparkSession
-    sample = [r[0] for r in words.select("word").orderBy(F.xxhash64("word"), "word").limit(pivots).collect()]
-    if not sample:
-        return spark.createDataFrame([], "a string, b string")
+    placed = place(pts, radius, pivots)
+    x = placed.where("home").select("block", "cell", F.col("word").alias("a"), F.col("d").alias("da"))
+    y = placed.select("block", "cell", F.col("word").alias("b"), F.col("d").alias("db"))
+    near = x.join(y, ["block", "cell"]).where((F.abs(F.length("a") - F.length("b")) <= radius) & (F.abs(F.col("da") - F.col("db")) <= radius) & F.levenshtein("a", "b", radius).between(0, radius))
+    return near.select("block", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for k in range(0, len(pdf), 256):
-                own = pdf["word"].iloc[k : k + 256].tolist()
-                letters, n = encode(own + sample)
-                a = np.repeat(np.arange(len(own)), len(sample))
-                b = len(own) + np.tile(np.arange(len(sample)), len(own))
-                d = edits(letters, n, a, b).reshape(len(own), len(sample))
-                home = d.argmin(axis=1)
-                row, cell = np.nonzero(d <= d.min(axis=1)[:, None] + 2 * radius)
-                yield pd.DataFrame({"cell": cell.astype("int32"), "word": [own[i] for i in row], "home": home[row] == cell})
-
-    placed = words.select("word").mapInPandas(assign, "cell int, word string, home boolean")
-    x = placed.where("home").select("cell", F.col("word").alias("a"))
-    y = placed.select("cell", F.col("word").alias("b"))
-    near = x.join(y, "cell").where((F.abs(F.length("a") - F.length("b")) <= radius) & (F.col("a") != F.col("b")) & F.levenshtein("a", "b", radius).between(0, radius))
-    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def swap_pairs(words: DataFrame) -> DataFrame:
-    """(a, b) of all pairs of words that differ by one swap of neighbouring letters, a < b."""
+
+def swap_pairs(pts: DataFrame) -> DataFrame:
+    """(block, a, b) of all pairs of points of one block whose words differ by one swap of neighbouring letters, a < b."""
     at = F.explode(F.sequence(F.lit(1), F.length("word") - 1)).alias("i")
-    made = words.where(F.length("word") > 1).select("word", at).select(F.col("word").alias("a"), F.expr("concat(substring(word, 1, i - 1), substring(word, i + 1, 1), substring(word, i, 1), substring(word, i + 2))").alias("b")).where("a < b")
-    return made.join(words.select(F.col("word").alias("b")), "b").select("a", "b").distinct()
+    made = pts.where(F.length("word") > 1).select("block", "word", at).select("block", F.col("word").alias("a"), F.expr("concat(substring(word, 1, i - 1), substring(word, i + 1, 1), substring(word, i, 1), substring(word, i + 2))").alias("b")).where("a < b")
+    return made.join(pts.select("block", F.col("word").alias("b")), ["block", "b"]).select("block", "a", "b").distinct()
 
 
-_NAME = "key string, words array<string>, short array<boolean>, lob array<string>, whole boolean, firm boolean"
+_NAME = "key string, words array<string>, short array<boolean>, lob array<string>, whole boolean, firm boolean, points array<struct<block:string,word:string>>"
 
 
 def read_names(values: DataFrame, lines: tuple[str, ...], brands: frozenset[str]) -> DataFrame:
@@ -82,8 +110,8 @@ def read_names(values: DataFrame, lines: tuple[str, ...], brands: frozenset[str]
             for v in pdf["value"]:
                 n = read_name(v, lines)
                 if n and not (not n.lob and brands.intersection(n.words)):
-                    out.append((v, n.key, list(n.words), list(n.short), sorted(n.lob), n.whole, n.firm))
-            yield pd.DataFrame(out, columns=["value", "key", "words", "short", "lob", "whole", "firm"])
+                    out.append((v, n.key, list(n.words), list(n.short), sorted(n.lob), n.whole, n.firm, [{"block": b, "word": w} for b, w in points(n)]))
+            yield pd.DataFrame(out, columns=["value", "key", "words", "short", "lob", "whole", "firm", "points"])
 
     return values.select(F.col(col).alias("value")).where("value is not null").distinct().mapInPandas(run, f"value string, {_NAME}")
 
@@ -94,23 +122,12 @@ def _name(r: tuple) -> Name:
 
 def link_names(names: DataFrame) -> DataFrame:
     """(key, class) of all names (one row a key, with the columns of ``read_names``): class is the least key of the class."""
-    names = cut(names.select("key", "words", "short", "lob", "whole", "firm").dropDuplicates(["key"]))
-    points = names.select("key", F.forall("words", lambda w: F.length(w) < 4).alias("brief"), F.explode("words").alias("raw")).where("length(raw) > 3 or brief").select("key", F.translate("raw", "DFIQC", "OELOG").alias("word"), "raw")
-    words = cut(points.select("word").distinct())
-    raws = points.select("raw", "word").distinct()
-    # swaps are of letters as typed; both sides are taken to the folded words
-    swaps = swap_pairs(raws.select(F.col("raw").alias("word")).distinct()).join(raws.select(F.col("raw").alias("a"), F.col("word").alias("fa")), "a").join(raws.select(F.col("raw").alias("b"), F.col("word").alias("fb")), "b")
-    near = radius_pairs(words).unionByName(swaps.where("fa <> fb").select(F.least("fa", "fb").alias("a"), F.greatest("fa", "fb").alias("b"))).distinct()
-    links = words.select(F.col("word").alias("a"), F.col("word").alias("b")).unionByName(near)
-    own = points.select("key", "word").distinct()
-    pairs = links.join(own.select(F.col("key").alias("x"), F.col("word").alias("a")), "a").join(own.select(F.col("key").alias("y"), F.col("word").alias("b")), "b").where("x <> y").select("x", "y")
-    # glued names: at most one edit, so one side of the right cut is a word as it stands
-    glued = names.where("size(words) = 1").select(F.col("key").alias("x"), F.translate(F.col("words")[0], "DFIQC", "OELOG").alias("w"))
-    parts = glued.where("length(w) > 6").select("x", "w", F.explode(F.sequence(F.lit(3), F.length("w") - 3)).alias("i")).select("x", F.explode(F.array(F.expr("substring(w, 1, i)"), F.expr("substring(w, i + 1)"))).alias("word")).distinct()
-    pairs = pairs.unionByName(parts.join(own.select(F.col("key").alias("y"), "word"), "word").where("x <> y").select("x", "y"))
-    # a nickname lacks the first two letters
-    tail = points.where("length(raw) > 5").select(F.col("key").alias("x"), F.translate(F.expr("substring(raw, 3)"), "DFIQC", "OELOG").alias("word"))
-    pairs = pairs.unionByName(tail.join(own.select(F.col("key").alias("y"), "word"), "word").where("x <> y").select("x", "y"))
+    names = cut(names.select("key", "words", "short", "lob", "whole", "firm", "points").dropDuplicates(["key"]))
+    own = names.select("key", F.explode("points").alias("p")).select("key", "p.block", "p.word")
+    pts = cut(own.select("block", "word").distinct())
+    links = radius_pairs(pts).unionByName(swap_pairs(pts)).distinct()
+    at = lambda k, w: own.select(F.col("key").alias(k), "block", F.col("word").alias(w))
+    pairs = links.join(at("x", "a"), ["block", "a"]).join(at("y", "b"), ["block", "b"]).where("x <> y").select("x", "y")
     pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
     detail = F.struct("words", "short", "lob", "whole", "firm")
     both = pairs.join(names.select(F.col("key").alias("x"), detail.alias("p")), "x").join(names.select(F.col("key").alias("y"), detail.alias("q")), "y")

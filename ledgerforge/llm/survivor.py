@@ -55,11 +55,10 @@ def product_words(c: Column) -> Column:
 
 
 def _tops(df: DataFrame, by: str, values: dict[str, str]) -> DataFrame:
-    """The most frequent non-null value of several columns for each key, in one aggregation; ties go by the value's hash."""
+    """The most frequent non-null value of several columns for each key: counted by value, then one aggregation a key; ties go by the value's hash."""
     each = F.explode(F.array(*[F.struct(F.lit(n).alias("k"), F.col(c).alias("v")) for n, c in values.items()])).alias("x")
     n = df.where(F.col(by).isNotNull()).select(by, each).where("x.v is not null").groupBy(by, F.col("x.k").alias("k"), F.col("x.v").alias("v")).agg(F.count("*").alias("n"))
-    best = n.groupBy(by, "k").agg(F.max_by("v", F.struct("n", F.xxhash64("v"), "v")).alias("v"))
-    return best.groupBy(by).agg(*[F.max(F.when(F.col("k") == name, F.col("v"))).alias(name) for name in values])
+    return n.groupBy(by).agg(*[F.expr(f"max_by(v, struct(n, xxhash64(v), v)) FILTER (WHERE k = '{name}')").alias(name) for name in values])
 
 
 def line_groups(po: DataFrame, carry: dict[str, Column]) -> DataFrame:
@@ -113,27 +112,32 @@ def survive(
     weight: Column | None = None,
     precedence: Column | None = None,
     keep: tuple[str, ...] = (),
+    least: int = 1,
 ) -> DataFrame:
-    """One row a group with the winner of every field.
+    """One row a group with the winner of every field, and ``first_id``, the least id that voted.
 
     rows: needs columns ``group`` and ``id``; fields: name -> normalised value (null: no vote).
-    weight: votes of a row, summed by value; without it values have no votes and ``precedence`` alone decides.
-    precedence: orders rows; between equal votes the value whose best row comes first wins, and a field's
-    ``<name>_id`` is that row's id. Without it the smallest id comes first.
-    keep: names of ``fields`` whose value isn't wanted, only its id.
+    weight: votes of a row, a double or a whole number that may be as large as decimal(20,0), summed by value; without
+    it every row has one vote. precedence: orders rows; between equal votes the value whose best row comes first wins,
+    and a field's ``<name>_id`` is that row's id. Without it the smallest id comes first.
+    keep: names of ``fields`` whose value isn't wanted, only its id. least: groups with fewer rows that vote for their
+    most voted field are left out.
+
+    Votes are added by group, field and value, so a group of any size is spread over its values and summed before it is
+    shuffled; the winners of all fields of a group are one aggregation more.
     """
     first = precedence if precedence is not None else -F.col("id")
-    w = weight if weight is not None else F.lit(0.0)
+    w = weight if weight is not None else F.lit(1)
     long = rows.select(
-        F.col(group).alias("_g"), F.col("id").alias("_id"), w.cast("double").alias("_w"), first.alias("_first"),
+        F.col(group).alias("_g"), F.col("id").alias("_id"), w.alias("_w"), first.alias("_first"),
         F.explode(F.array(*[F.struct(F.lit(n).alias("field"), v.cast("string").alias("value")) for n, v in fields.items()])).alias("_v"),
     ).where("_v.value is not null")
     # rounded so that the order in which votes are added doesn't decide
-    votes = long.groupBy("_g", F.col("_v.field").alias("_f"), F.col("_v.value").alias("_value")).agg(F.round(F.sum("_w"), 9).alias("_votes"), F.max(F.struct("_first", "_id")).alias("_best"))
-    won = votes.groupBy("_g", "_f").agg(F.max_by(F.struct("_value", "_best"), F.struct("_votes", "_best._first", "_value")).alias("_won"))
-    pick = [F.max(F.when(F.col("_f") == n, F.col("_won._value"))).alias(n) for n in fields if n not in keep]
-    ids = [F.max(F.when(F.col("_f") == n, F.col("_won._best._id"))).alias(f"{n}_id") for n in fields]
-    return won.groupBy(F.col("_g").alias(group)).agg(*pick, *ids)
+    votes = long.groupBy("_g", F.col("_v.field").alias("_f"), F.col("_v.value").alias("_value")).agg(F.round(F.sum("_w"), 9).alias("_votes"), F.max(F.struct("_first", "_id")).alias("_best"), F.count("*").alias("_n"), F.min("_id").alias("_least"))
+    won = lambda n: F.expr(f"max_by(struct(_value, _best), struct(_votes, _best._first, _value)) FILTER (WHERE _f = '{n}')").alias(f"_{n}")
+    size = F.greatest(*[F.coalesce(F.expr(f"sum(_n) FILTER (WHERE _f = '{n}')"), F.lit(0)) for n in fields], F.lit(0)).alias("_size")
+    g = votes.groupBy(F.col("_g").alias(group)).agg(*[won(n) for n in fields], size, F.min("_least").alias("first_id")).where(F.col("_size") >= least)
+    return g.select(group, *[F.col(f"_{n}._value").alias(n) for n in fields if n not in keep], *[F.col(f"_{n}._best._id").alias(f"{n}_id") for n in fields], "first_id")
 
 
 def reading_order() -> Column:
@@ -144,6 +148,23 @@ def reading_order() -> Column:
     return F.struct(rank.alias("a"), (-nulls).alias("b"), F.coalesce(F.col("updated_at").cast("timestamp_ntz"), F.lit("0001-01-01").cast("timestamp_ntz")).alias("c"), (-F.col("id")).alias("d"))
 
 
+#: What a step of trust is worth: more than all microseconds of the years 1 to 2200.
+STEP = 70_000_000_000_000_000
+
+
+def reading_votes() -> Column:
+    """The votes of a row of po_customer: a step of trust for each level of confidence and each filled own column, less what age takes, under one step.
+
+    Confidence weighs more than all columns together, a column more than any age; a row without time is as old as can be.
+    """
+    level = confidence_level(F.col("confidence"))
+    rank = F.when(level == "high", 3).when(level == "medium", 2).when(level == "low", 1).otherwise(0)
+    filled = sum((F.col(c).isNotNull().cast("int") for c in OWN), F.lit(0))
+    trust = (rank * (len(OWN) + 1) + filled).cast("decimal(4,0)") * F.lit(STEP).cast("decimal(18,0)")
+    young = F.coalesce(F.expr("timestampdiff(MICROSECOND, timestamp_ntz'0001-01-01 00:00:00', cast(updated_at AS timestamp_ntz))"), F.lit(0))
+    return (trust + F.least(F.greatest(young, F.lit(0)), F.lit(STEP - 1)).cast("decimal(18,0)")).cast("decimal(20,0)")
+
+
 def reading_trust() -> Column:
     """The trust of a reading of po_customer."""
     level = confidence_level(F.col("confidence"))

@@ -79,16 +79,37 @@ def test_components_against_union_find(spark):
 
 
 def test_radius_join_is_exact(spark):
+    """Against all pairs, for few and many pivots, with words longer than a machine word and blocks that no sample knows."""
     r = random.Random(3)
-    words = sorted({"".join(r.choice("ABE") for _ in range(r.randint(3, 7))) for _ in range(250)})
-    want = {(a, b) for a in words for b in words if a < b and edit(a, b, 1) <= 1}
-    df = spark.createDataFrame([(w,) for w in words], "word string")
-    for pivots in (1, 7, 64):
+    words = sorted({"".join(r.choice("ABE") for _ in range(r.randint(3, 7))) for _ in range(250)} | {"B" + "A" * 70, "A" * 70, "A" * 71, "K" * 90, "K" * 45 + "L" + "K" * 45})
+    points = sorted({(r.choice("XY"), w) for w in words} | {("Z", "A")})
+    want = {(c, a, b) for c, a in points for d, b in points if c == d and a <= b and edit(a, b, 1) <= 1}
+    df = spark.createDataFrame(points, "block string, word string")
+    for pivots in (1, 7, 64, None):
         got = [tuple(x) for x in spellings.radius_pairs(df, 1, pivots).collect()]
         assert set(got) == want and len(got) == len(want)
     assert spellings.radius_pairs(df.where("false")).count() == 0
     swaps = {tuple(x) for x in spellings.swap_pairs(df).collect()}
-    assert swaps == {(a, b) for a in words for b in words if a < b and any(a[:i] + a[i + 1] + a[i] + a[i + 2 :] == b for i in range(len(a) - 1))}
+    assert swaps == {(c, a, b) for c, a in points for d, b in points if c == d and a < b and any(a[:i] + a[i + 1] + a[i] + a[i + 2 :] == b for i in range(len(a) - 1))}
+
+
+def test_the_pivots_carry_the_links(spark, sf, monkeypatch):
+    """Without the radius join most pairs are lost; the rest read to one name or differ by a swap."""
+    from ledgerforge.llm.queries import QUERIES
+
+    whole = QUERIES["p5_found"](spark, sf).count()
+    none = spark.createDataFrame([], "block string, a string, b string")
+    monkeypatch.setattr(spellings, "radius_pairs", lambda *a, **k: none)
+    assert QUERIES["p5_found"](spark, sf).count() < 0.3 * whole
+
+
+def test_short_names_are_names(spark):
+    values = ["PT KAO", "P.T. KAO", "kao", "PT ABC JAYA", "ABC JAYA", "PT", "-", "X", None, "LI AN", "LI  AN"]
+    got = spellings.spelling_classes(spark.createDataFrame([(v,) for v in values], "v string"), LINES, frozenset()).collect()
+    classes = {}
+    for v, c in got:
+        classes.setdefault(c, set()).add(v)
+    assert sorted(map(sorted, classes.values())) == [["ABC JAYA", "PT ABC JAYA"], ["LI  AN", "LI AN"], ["P.T. KAO", "PT KAO", "kao"]]
 
 
 def test_classes_by_brute_force(spark):
