@@ -96,8 +96,8 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return mixing.report(sizes, targets, mixing.plan_mix(sizes, targets, (0.1, 0.5, 1.0)))
 
 
-#: The expectation below which a passage is significant.
-SIGNIFICANT = 0.01
+#: The expectation below which a passage is significant: chance may give three of a hundred thousand ordinary texts.
+SIGNIFICANT = 3e-5
 
 
 def p8_scores(spark: SparkSession, d: str) -> DataFrame:

@@ -2,16 +2,19 @@
 
 Words and pairs of words get log-odds with an informative Dirichlet prior: how
 often documents labelled bad use them against all other documents, or against
-those labelled ok where that says more, the prior being the corpus itself plus a short list of plain terms of abuse. Every text,
-disguises undone, is a sequence of such scores, less a drift; one linear scan
-(Ruzzo and Tompa) yields all maximal segments, that is passages. A passage of
-score S in a text of n words is significant if its extreme-value expectation
-K n exp(-lambda S) is small, n being bounded for passages with a listed term, lambda coming from the distribution of scores
-over the whole corpus.
+those labelled ok where that says more, the prior being the corpus itself. A list
+of plain terms of abuse enters as pseudo-counts beside the labels: texts that the
+list says it has seen. Every text, disguises undone, is a sequence of such scores,
+less a drift; one linear scan (Ruzzo and Tompa) yields all maximal segments, that
+is passages. A passage of score S in a text of n words is significant if its
+extreme-value expectation K n exp(-lambda S) is small. K and lambda are read off
+the passages of ordinary labelled texts: how many a word holds, and how fast they
+get rare with their score. For passages with a listed term n is bounded.
 
 Labels are the only sample: at most ``MOST_LABELS`` of them, by hash, fit the
-scores. Counts, prior and distribution cover every document, and every document
-is scored whole, without a shuffle of texts.
+scores. Counts and prior cover every document, and every document is scored
+whole, without a shuffle of texts. Only shares of the labelled texts and of the
+corpus count, so scores are alike at every size and at any frequency of abuse.
 
 Defined results: null and empty texts score 0; a document whose labels disagree
 counts as bad if most of them are; without labels the list of terms decides;
@@ -28,15 +31,20 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Documented bound of the labelled sample that fits the scores.
 MOST_LABELS = 20_000
-#: Words that a passage with a listed term is judged over at most: at the least lambda a single term at the top score is significant among them.
+#: Words that a passage with a listed term is judged over at most.
 STRETCH = 40
-#: The least lambda: below it, in a handful of documents that are mostly abuse, scores would mean nothing.
-LEAST_DECAY = 1.5
+#: The pseudo-counts of the list: of as many texts as are labelled, but at least so many, these shares of bad and of ordinary ones use a listed term.
+LISTED_BAD, LISTED_OK, LEAST_SAMPLE = 0.1, 5e-5, 100
+#: The share of the bad texts with a listed term that may be labelled ok by mistake.
+LABEL_NOISE = 0.1
+#: What calibration begins with: passages in words of ordinary text, and their middle score.
+PRIOR_PASSAGES, PRIOR_WORDS, PRIOR_SCORE = 50.0, 50_000.0, 0.28
 
 # Plain terms of abuse, hate and sexual address, Indonesian and English.
 TERMS = frozenset(
@@ -45,9 +53,6 @@ TERMS = frozenset(
     arsehole ass asshole bastard bitch crap cunt dick dickhead dumbass faggot filthy fuck fucking idiot imbecile jerk moron naked nigger nude pig porn pussy
     retard scum scumbag shit slut stupid tits vermin whore""".split()
 )
-#: Pairs of words of threats and of hate against peoples.
-TERM_PAIRS = frozenset(("wipe them", "hang them", "born thieves", "darah mereka", "mereka kotor", "kalian mati", "spit on", "kids will", "shut up"))
-
 _WORD = re.compile(r"[^\W_]+(?:[@$!*#]+[^\W_]+)*[$@]?|[$@][^\W_]+")
 _SPELLED = re.compile(r"(?<![^\W_])[^\W_](?:([.\-_·•'/|+~ ])[^\W_])(?:\1[^\W_]{1,2})+(?![^\W_])")
 _HIDDEN = re.compile("[\u00ad\u200b-\u200f\u2060-\u2064\ufeff]")
@@ -66,7 +71,6 @@ def _plain(word: str) -> str:
 
 #: The terms, also in the plural and with the Indonesian ending for your.
 _PLAIN = frozenset(_plain(t) for t in TERMS) | frozenset(_plain(t) + end for t in TERMS for end in ("s", "mu"))
-_PAIRS = frozenset(" ".join(_plain(w) for w in p.split()) for p in TERM_PAIRS)
 _BY_SIZE: dict[int, list[str]] = {}
 for _t in sorted(_PLAIN):
     _BY_SIZE.setdefault(len(_t), []).append(_t)
@@ -138,10 +142,10 @@ def word_scores(words: list[str], table: dict[str, float], drift: float) -> list
     return [max(own[i], pair[i - 1] if i else 0.0, pair[i] if i < n - 1 else 0.0) - drift for i in range(n)]
 
 
-def score_text(text: str | None, table: dict[str, float], drift: float, decay: float, k: float = 0.1, top: float = 6.0) -> tuple[float, int, float, str]:
+def score_text(text: str | None, table: dict[str, float], drift: float, decay: float, k: float) -> tuple[float, int, float, str]:
     """(score, words, expectation, passage) of the passage that chance explains least.
 
-    A passage is judged over the whole text, but one that holds a listed term at its top score over ``STRETCH`` words
+    A passage is judged over the whole text, but one that holds a listed term that the labels let stand over ``STRETCH`` words
     at most: a plain insult does not become chance because much other text surrounds it.
     """
     words = tokens(text or "")
@@ -151,7 +155,7 @@ def score_text(text: str | None, table: dict[str, float], drift: float, decay: f
         if s <= best[0] and best[2] <= k * min(n, STRETCH) * math.exp(-decay * s):
             continue
         passage = words[a:b]
-        listed = any(table.get(g, 0.0) >= top and (g in _PLAIN or g in _PAIRS) for g in grams(passage))
+        listed = any(w in _PLAIN and w in table for w in passage)
         found = (s, len(words), k * (min(n, STRETCH) if listed else n) * math.exp(-decay * s), " ".join(passage))
         if not best[3] or (found[2], -s) < (best[2], -best[0]):
             best = found
@@ -164,33 +168,36 @@ def bad_documents(labels: DataFrame, most: int = MOST_LABELS) -> DataFrame:
     return lab.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("doc_id", (F.col("r") >= 0.5).alias("bad"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, strength: float = 10.0, least: int = 3, drift: float = 2.0, top: float = 6.0, certainty: float = 1.6, rare: float = 0.01) -> tuple[dict[str, float], float, float]:
-    """(scores of words and pairs, drift, lambda).
+def fit(docs: DataFrame, labels: DataFrame, strength: float = 10.0, least: int = 3, drift: float = 2.0, top: float = 6.0, certainty: float = 1.6) -> tuple[dict[str, float], float, float, float]:
+    """(scores of words and pairs, drift, lambda, K).
 
     strength: documents that the prior is worth; least: bad documents that must use a word; top: the largest score;
-    certainty: standard errors that a score is lowered by; rare: the share of documents below which a listed term counts
-    whatever the labels say. Above it the labelled texts decide, each distinct one once, so neither copies nor the share
-    of bad documents unlist a term.
+    certainty: standard errors that a learned score is lowered by. Each distinct labelled text counts once, so neither
+    copies nor the share of bad documents unlist a term.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[bool, Counter[str]] = {True: Counter(), False: Counter()}
+        seen: list[Counter[str]] = [Counter(), Counter(), Counter(), Counter()]
         for pdf in batches:
-            for t, is_bad in zip(pdf["text"], pdf["bad"]):
-                seen[bool(is_bad)].update(set(grams(tokens(t))))
-        yield pd.DataFrame([(g, seen[True][g], seen[False][g]) for g in seen[True] | seen[False]], columns=["gram", "n", "ok"])
+            for t, is_bad, half in zip(pdf["text"], pdf["bad"], pdf["half"]):
+                seen[2 * int(half) + (not is_bad)].update(set(grams(tokens(t))))
+        yield pd.DataFrame([(g, *(c[g] for c in seen)) for g in set().union(*seen)], columns=["gram", "bad0", "ok0", "bad1", "ok1"])
 
     # copies of a text are one labelled text: bad if most of its labels say so
     sample = docs.select("doc_id", F.xxhash64("text").alias("h"), F.col("text").isNotNull().alias("full")).where("full").join(F.broadcast(bad_documents(labels)), "doc_id")
     once = sample.groupBy("h").agg(F.min("doc_id").alias("doc_id"), (F.avg(F.col("bad").cast("int")) >= 0.5).alias("bad")).select("doc_id", "bad").collect()
-    n_bad, n_ok = sum(r.bad for r in once), sum(not r.bad for r in once)
-    counts: dict[str, tuple[int, int]] = {}
+    # half of the labelled texts, by hash, calibrates what the other half has taught
+    half = {r.doc_id: xxhash.xxh64_intdigest(str(r.doc_id)) % 2 for r in once}
+    size = [sum(r.bad == bad and half[r.doc_id] == h for r in once) for h in (0, 1) for bad in (True, False)]
+    counts: dict[str, tuple[int, int, int, int]] = {}
+    marked: DataFrame | None = None
     if once:
-        marked = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(docs.sparkSession.createDataFrame(once, "doc_id bigint, bad boolean")), "doc_id").select("text", "bad")
-        summed = marked.repartition(8).mapInPandas(count, "gram string, n long, ok long").groupBy("gram").agg(F.sum("n").alias("n"), F.sum("ok").alias("ok"))
-        counts = {r[0]: (r[1], r[2]) for r in summed.where((F.col("n") >= least) | F.col("gram").isin(*_PLAIN, *_PAIRS)).collect()}
-    known = {g: n for g, (n, _) in counts.items() if n >= least}
-    wanted = frozenset(known) | _PLAIN | _PAIRS
+        chosen = docs.sparkSession.createDataFrame([(r.doc_id, r.bad, half[r.doc_id]) for r in once], "doc_id bigint, bad boolean, half int")
+        marked = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").select("text", "bad", "half")
+        each = ("bad0", "ok0", "bad1", "ok1")
+        summed = marked.mapInPandas(count, "gram string, " + ", ".join(f"{c} long" for c in each)).groupBy("gram").agg(*[F.sum(c).alias(c) for c in each])
+        counts = {r[0]: tuple(r)[1:] for r in summed.where((F.col("bad0") + F.col("bad1") >= least) | F.col("gram").isin(*_PLAIN)).collect()}
+    wanted = frozenset(g for g, n in counts.items() if n[0] + n[2] >= least) | _PLAIN
 
     def count_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         docs_with: Counter[str] = Counter()
@@ -208,54 +215,78 @@ def fit(docs: DataFrame, labels: DataFrame, strength: float = 10.0, least: int =
 
     total = {r[0]: (r[1], r[2]) for r in docs.select("text").where("text is not null").mapInPandas(count_all, "gram string, n long, times long").groupBy("gram").agg(F.sum("n"), F.sum("times")).collect()}
     n_docs, n_words = total.get(None, (0, 0))
-    table: dict[str, float] = {}
-    abuse: set[str] = set()  # frequent and kept by the labels: no part of the text that chance is judged by
-    for g in wanted:
-        k, _ = total.get(g, (0, 0))
-        share = (k + 0.5) / (n_docs + 1.0)
-        b, ok = counts.get(g, (0, 0))
-        often = k >= max(rare * n_docs, 5)
-        if (g in _PLAIN or g in _PAIRS) and (not often or _abusive(b, ok, n_bad, n_ok, drift, least)):
-            # the prior of a listed term that the corpus hardly uses, or labelled bad documents far more than ok ones, outweighs any count
-            table[g] = top
-            abuse |= {g} if often else set()
-            continue
-        if b < least:
-            continue
-        up = (b + strength * share) / (n_bad + strength)
-        scores = []
-        # unlabelled bad documents are among the others, but not among the ok ones
-        for rest, n_rest in ((max(k - b, 0), max(n_docs - n_bad, 0)), (ok, n_ok)):
-            down = (rest + strength * share) / (n_rest + strength)
-            spread = math.sqrt(1.0 / (b + strength * share) + 1.0 / (rest + strength * share))
-            scores.append(math.log(up / down) - certainty * spread)
-        if max(scores) > drift:
-            table[g] = min(max(scores), top)
-    mass = {g: total[g][1] / n_words for g in table if g in total and g not in abuse and n_words}
-    return table, drift, _decay([(p, table[g] - drift) for g, p in mass.items()], drift)
-
-
-def _abusive(b: int, ok: int, n_bad: int, n_ok: int, drift: float, least: int) -> bool:
-    """Whether labels let a listed term that the corpus uses often stand: its share of the bad texts is far above that of the ok ones. Without bad texts the list decides where no ok text uses it."""
-    if not n_bad:
-        return not ok
-    return b >= min(least, n_bad) and math.log((b + 0.5) / (n_bad + 1)) - math.log((ok + 0.5) / (n_ok + 1)) > drift
-
-
-def _decay(steps: list[tuple[float, float]], drift: float) -> float:
-    """lambda > 0 with the sum of p exp(lambda s) equal to 1, the rest of the words scoring -drift; at least ``LEAST_DECAY``."""
-    rest = max(1e-9, 1.0 - sum(p for p, _ in steps))
-    value = lambda x: rest * math.exp(-x * drift) + sum(p * math.exp(x * s) for p, s in steps)
-    if not steps or value(8.0) < 1:
-        return 8.0
-    lo, hi = LEAST_DECAY, 8.0
-    for _ in range(80):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if value(mid) < 1 else (lo, mid)
-    return lo
-
-
-def score_documents(docs: DataFrame, table: dict[str, float], drift: float, decay: float, k: float = 0.1) -> DataFrame:
+
+    def scores(bad: list[int], ok: list[int], fewest: int) -> dict[str, float]:
+        """The table that the halves at these positions teach."""
+        n_bad, n_ok = sum(size[i] for i in bad), sum(size[i] for i in ok)
+        table: dict[str, float] = {}
+        for g in wanted:
+            k, _ = total.get(g, (0, 0))
+            share = (k + 0.5) / (n_docs + 1.0)
+            n = counts.get(g, (0, 0, 0, 0))
+            b, o = sum(n[i] for i in bad), sum(n[i] for i in ok)
+            if g in _PLAIN:
+                best = listed_score(b, n_bad, max(0.0, o - LABEL_NOISE * b), n_ok)
+            elif b < fewest:
+                continue
+            else:
+                up = (b + strength * share) / (n_bad + strength)
+                best = 0.0
+                # unlabelled bad documents are among the others, but not among the ok ones
+                for rest, n_rest in ((max(k - b, 0), max(n_docs - n_bad, 0)), (o, n_ok)):
+                    down = (rest + strength * share) / (n_rest + strength)
+                    spread = math.sqrt(1.0 / (b + strength * share) + 1.0 / (rest + strength * share))
+                    best = max(best, math.log(up / down) - certainty * spread)
+            if best > drift:
+                table[g] = min(best, top)
+        return table
+
+    halves = [scores([2 * h], [2 * h + 1], max(1, (least + 1) // 2)) for h in (0, 1)]
+    return scores([0, 2], [1, 3], least), drift, *_calibrate(marked, halves, drift)
+
+
+def _calibrate(marked: DataFrame | None, tables: list[dict[str, float]], drift: float) -> tuple[float, float]:
+    """(lambda, K) of the passages that the table of one half of the labelled texts finds in the ordinary ones of the other.
+
+    Scores above 0 thin out by half within their median, a word begins K of them. The median doesn't mind the few bad
+    texts that are labelled ok. Beside the texts stand the prior's passages.
+    """
+    rows: list = []
+    if marked is not None:
+
+        def passages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            found: Counter[float] = Counter()
+            n = 0
+            for pdf in batches:
+                for t, half in zip(pdf["text"], pdf["half"]):
+                    ws = tokens(t)
+                    n += len(ws)
+                    found.update(round(s, 2) for *_, s in segments(word_scores(ws, tables[1 - int(half)], drift)))
+            yield pd.DataFrame([(s, k) for s, k in found.items()] + [(-1.0, n)], columns=["score", "n"])
+
+        # scores are rounded to hundredths: what comes back is bounded by their range
+        rows = marked.where("not bad").select("text", "half").mapInPandas(passages, "score double, n long").groupBy("score").agg(F.sum("n").alias("n")).collect()
+    words = sum(r.n for r in rows if r.score < 0)
+    seen = sorted([(r.score, r.n) for r in rows if r.score >= 0] + [(PRIOR_SCORE, PRIOR_PASSAGES)])
+    total, upto, half = sum(n for _, n in seen), 0.0, PRIOR_SCORE
+    for half, n in seen:
+        upto += n
+        if upto * 2 >= total:
+            break
+    return math.log(2) / max(half, 0.01), total / (PRIOR_WORDS + words)
+
+
+def listed_score(b: float, n_bad: int, ok: float, n_ok: int) -> float:
+    """The log-odds of a listed term in b of n_bad bad and ok of n_ok ordinary labelled texts, its list being worth as many texts again.
+
+    Of those the list says ``LISTED_BAD`` and ``LISTED_OK`` to use it. Shares decide: neither the size of the sample, beyond
+    ``LEAST_SAMPLE``, nor how often the corpus uses the term, nor copies change its score.
+    """
+    m, n = max(n_bad, LEAST_SAMPLE), max(n_ok, LEAST_SAMPLE)
+    return math.log((b + LISTED_BAD * m) / (n_bad + m)) - math.log((ok + LISTED_OK * n) / (n_ok + n))
+
+
+def score_documents(docs: DataFrame, table: dict[str, float], drift: float, decay: float, k: float) -> DataFrame:
     """(doc_id, source, score, n_words, expectation, passage): expectation is the number of such passages that chance would give."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
