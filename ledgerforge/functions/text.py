@@ -142,12 +142,13 @@ def issuer_from_path(folder: Column) -> Column:
     return F.when(name != "", F.regexp_replace(F.initcap(name), "^Pt ", "PT "))
 
 
-def mime_of(declared: Column, filename: Column) -> Column:
-    """A declared type that is known, else one by extension, else octet-stream."""
+def mime_of(declared: Column, filename: Column, content: Column | None = None) -> Column:
+    """A declared type that is known, else that of the first bytes, else one by extension, else octet-stream. A zip archive goes by its extension."""
     ext = F.lower(F.regexp_extract(filename, r"\.([A-Za-z0-9]+)$", 1))
     known = F.when(declared.isin("application/pdf", "text/plain", "image/jpeg", "image/png"), declared)
     by_ext = F.when(ext == "pdf", "application/pdf").when(ext == "txt", "text/plain").when(ext.isin("jpg", "jpeg"), "image/jpeg").when(ext == "png", "image/png").when(ext == "xlsx", "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet")
-    return F.coalesce(known, by_ext, F.lit("application/octet-stream"))
+    bytes_ = F.lit(None).cast("string") if content is None else F.nullif(sniff_content(content), F.lit("application/zip"))
+    return F.coalesce(known, bytes_, by_ext, F.lit("application/octet-stream"))
 
 
 def sniff_content(content: Column) -> Column:

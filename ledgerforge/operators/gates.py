@@ -9,20 +9,21 @@ from pyspark.sql import functions as F
 from ledgerforge.functions.money import near
 from ledgerforge.functions.status import add_tag
 
-#: The tax rates that a gross amount may hold.
-RATES = (("11", "1.11"), ("1.1", "1.011"))
+#: The tax rates that a gross amount may hold, as printed, and their factors.
+RATES = (("11", "11%", "1.11"), ("1.1", "1.1%", "1.011"))
 
 
-def line_gate(df: DataFrame, qty: str, price: str, discount: str, total: str, share: float = 0.02, least: float = 0.0, out: str = "gate") -> DataFrame:
+def line_gate(df: DataFrame, qty: str, price: str, discount: str, total: str, share: float = 0.02, least: float = 0.0, out: str = "gate", rate: str | None = None) -> DataFrame:
     """qty x price - discount against total: OK, GROSS-11, GROSS-1.1, REVIEW-ARITH, or VERIFY if an operand is null.
 
-    A null discount counts as none.
+    A null discount counts as none. rate: the column with the row's printed rate; only a total that holds the row's own
+    rate is gross, without a known rate none is.
     """
     net = (F.col(qty) * F.col(price) - F.coalesce(F.col(discount), F.lit(0))).cast("decimal(28,4)")
     t = F.col(total)
     status = F.when(net.isNull() | t.isNull(), "VERIFY").when(near(net, t, least, share), "OK")
-    for name, f in RATES:
-        status = status.when(near((net * F.lit(f).cast("decimal(6,4)")).cast("decimal(28,4)"), t, least, share), f"GROSS-{name}")
+    for name, printed, f in RATES if rate else ():
+        status = status.when((F.col(rate) == printed) & near((net * F.lit(f).cast("decimal(6,4)")).cast("decimal(28,4)"), t, least, share), f"GROSS-{name}")
     return df.withColumn(out, status.otherwise("REVIEW-ARITH"))
 
 

@@ -14,7 +14,8 @@ from ledgerforge.session import table
 
 query = Registry()
 
-SELF = "PT MUTO KOSUME PANGAN TBK"
+#: The own firm, which is neither vendor nor issuer of an order: its name, and how it is told in any writing.
+SELF, OWN = "PT MUTO KOSUME PANGAN TBK", "MUTO KOSUME"
 
 _NET = "CAST(qty * unit_price - coalesce(discount, 0) AS DECIMAL(28,4))"
 
@@ -25,30 +26,30 @@ def _near(a: str, b: str, least: str, share: str) -> str:
 
 def _gate_sql(least: str, share: str) -> str:
     return f"""CASE WHEN {_NET} IS NULL OR total IS NULL THEN 'VERIFY' WHEN {_near(_NET, 'total', least, share)} THEN 'OK'
-  WHEN {_near(f"CAST({_NET} * CAST(1.11 AS DECIMAL(6,4)) AS DECIMAL(28,4))", 'total', least, share)} THEN 'GROSS-11'
-  WHEN {_near(f"CAST({_NET} * CAST(1.011 AS DECIMAL(6,4)) AS DECIMAL(28,4))", 'total', least, share)} THEN 'GROSS-1.1' ELSE 'REVIEW-ARITH' END"""
+  WHEN ppn = '11%' AND {_near(f"CAST({_NET} * CAST(1.11 AS DECIMAL(6,4)) AS DECIMAL(28,4))", 'total', least, share)} THEN 'GROSS-11'
+  WHEN ppn = '1.1%' AND {_near(f"CAST({_NET} * CAST(1.011 AS DECIMAL(6,4)) AS DECIMAL(28,4))", 'total', least, share)} THEN 'GROSS-1.1' ELSE 'REVIEW-ARITH' END"""
 
 
 @query(f"SELECT id, {_gate_sql('0', '0.02')} AS gate FROM po_customer")
 def po_gate(spark: SparkSession, d: str) -> DataFrame:
-    return gates.line_gate(table(spark, d, "po_customer"), "qty", "unit_price", "discount", "total").select("id", "gate")
+    return gates.line_gate(table(spark, d, "po_customer"), "qty", "unit_price", "discount", "total", rate="ppn").select("id", "gate")
 
 
 @query(f"""SELECT CASE WHEN g IN ('OK', 'GROSS-11', 'GROSS-1.1') THEN 'MAPPED' ELSE 'REVIEW-ARITH' END AS status, g AS gate, count(*) AS n
 FROM (SELECT {_gate_sql('1', '0.001')} AS g FROM po_customer) GROUP BY 1, 2""")
 def po_audit(spark: SparkSession, d: str) -> DataFrame:
-    g = gates.line_gate(table(spark, d, "po_customer"), "qty", "unit_price", "discount", "total", 0.001, 1.0)
+    g = gates.line_gate(table(spark, d, "po_customer"), "qty", "unit_price", "discount", "total", 0.001, 1.0, rate="ppn")
     return g.withColumn("status", F.when(F.col("gate").isin("OK", "GROSS-11", "GROSS-1.1"), "MAPPED").otherwise("REVIEW-ARITH")).groupBy("status", "gate").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH g AS (SELECT id, mapping_status, CASE WHEN product_name IS NULL OR trim(product_name) = '' THEN 'NAME' WHEN upper(trim(vendor_code)) = '{SELF}' THEN 'SELF'
+@query(f"""WITH g AS (SELECT id, mapping_status, CASE WHEN product_name IS NULL OR trim(product_name) = '' THEN 'NAME' WHEN upper(trim(vendor_code)) = '{SELF}' OR regexp_matches(upper(trim(po_issuer)), '{OWN}') THEN 'SELF'
   WHEN ppn IS NOT NULL AND ppn NOT IN ('', '11%', '1.1%') THEN 'RATE' WHEN {_gate_sql('1', '0.02')} = 'REVIEW-ARITH' THEN 'ARITH' END AS error FROM po_customer)
 SELECT id, error, CASE WHEN error IS NOT NULL AND starts_with(coalesce(mapping_status, ''), 'MAPPED') THEN 'REVIEW-' || error || '|' || mapping_status ELSE mapping_status END AS status FROM g""")
 def server_gate(spark: SparkSession, d: str) -> DataFrame:
-    g = gates.line_gate(table(spark, d, "po_customer"), "qty", "unit_price", "discount", "total", 0.02, 1.0)
+    g = gates.line_gate(table(spark, d, "po_customer"), "qty", "unit_price", "discount", "total", 0.02, 1.0, rate="ppn")
     rules = [
         ("NAME", F.col("product_name").isNull() | (F.trim("product_name") == "")),
-        ("SELF", F.upper(F.trim("vendor_code")) == SELF),
+        ("SELF", F.coalesce(F.upper(F.trim("vendor_code")) == SELF, F.lit(False)) | F.upper(F.trim("po_issuer")).rlike(OWN)),
         ("RATE", F.col("ppn").isNotNull() & ~F.col("ppn").isin("", "11%", "1.1%")),
         ("ARITH", F.col("gate") == "REVIEW-ARITH"),
     ]
@@ -186,7 +187,7 @@ SELECT 'self vendor', count_if(coalesce(upper(trim(vendor_code)) = '{SELF}', fal
 SELECT 'no name', count_if(product_name IS NULL OR trim(product_name) = ''), count(*) FROM g UNION ALL
 SELECT 'negative', count_if(coalesce(qty < 0 OR total < 0, false)), count(*) FROM g""")
 def violations(spark: SparkSession, d: str) -> DataFrame:
-    g = gates.line_gate(table(spark, d, "po_customer"), "qty", "unit_price", "discount", "total", 0.001, 1.0)
+    g = gates.line_gate(table(spark, d, "po_customer"), "qty", "unit_price", "discount", "total", 0.001, 1.0, rate="ppn")
     return audit.violations(g, {
         "arithmetic": F.col("gate") == "REVIEW-ARITH", "self vendor": F.upper(F.trim("vendor_code")) == SELF,
         "no name": F.col("product_name").isNull() | (F.trim("product_name") == ""), "negative": (F.col("qty") < 0) | (F.col("total") < 0),

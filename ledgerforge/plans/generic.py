@@ -20,7 +20,7 @@ def p3_amounts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _objects(spark: SparkSession, d: str, values: bool) -> DataFrame:
-    docs = shred_json(table(spark, d, "documents"), "doc_id", "standard_json", values=values)
+    docs = shred_json(table(spark, d, "documents"), "doc_id", "standard_json", values=values, root=values)
     rows = shred_column(table(spark, d, "invoice_rows"), "id", "line_items", values=values)
     return docs.withColumn("table_name", F.lit("documents")).unionByName(rows.withColumn("table_name", F.lit("invoice_rows")))
 
@@ -30,7 +30,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_tables(spark: SparkSession, d: str) -> DataFrame:
-    """The flat tables in one: each object with the table that it belongs to and its own fields."""
+    """The flat tables in one: each object with the table that it belongs to and its own fields; documents themselves have the table ''."""
     return _objects(spark, d, True).select("table_name", "table_path", "record_id", "path", "parent_path", F.to_json("fields").alias("fields"))
 
 

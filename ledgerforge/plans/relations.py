@@ -78,12 +78,12 @@ def header_item_denorm(spark: SparkSession, d: str) -> DataFrame:
     return t.select("id", "invoice_number", "li.line_no", "li.amount", F.when(F.col("li").isNull(), "[NO ITEMS]").otherwise(F.col("li.description")).alias("description"))
 
 
-@query(rf"""WITH {PAGES}, a AS (SELECT doc_id, 1 AS page, text FROM documents WHERE doc_id % 3 <> 0)
+@query(rf"""WITH {PAGES}, a AS (SELECT doc_id, 1 AS page, text FROM documents)
 SELECT coalesce(a.doc_id, p.doc_id) AS doc_id, coalesce(a.page, p.page) AS page, length(CASE WHEN coalesce(length(p.text), -1) > coalesce(length(a.text), -1) THEN p.text ELSE a.text END) AS n_chars,
   CASE WHEN coalesce(length(p.text), -1) > coalesce(length(a.text), -1) THEN 'other' ELSE 'native' END AS reading FROM a FULL JOIN pages p ON p.doc_id = a.doc_id AND p.page = a.page""")
 def ocr_merge(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    native = docs.where("doc_id % 3 <> 0").select("doc_id", F.lit(1).alias("page"), "text")
+    native = docs.select("doc_id", F.lit(1).alias("page"), "text")
     m = merge.merge_readings(native, explode_pages(docs), ["doc_id", "page"])
     return m.select("doc_id", "page", F.length("text").cast("bigint").alias("n_chars"), "reading")
 
@@ -91,18 +91,18 @@ def ocr_merge(spark: SparkSession, d: str) -> DataFrame:
 _CELLS = ("qty", "uon", "total")
 
 
-@query("""WITH a AS (SELECT id, CAST(qty AS VARCHAR) AS qty, uon, CAST(total AS VARCHAR) AS total FROM po_customer WHERE id % 5 <> 0),
-b AS (SELECT id, CAST(CASE WHEN id % 7 = 0 THEN qty + 1 ELSE qty END AS VARCHAR) AS qty, upper(uon) AS uon, CAST(total AS VARCHAR) AS total FROM po_customer WHERE id % 4 <> 0),
+@query("""WITH a AS (SELECT id, CAST(qty AS VARCHAR) AS qty, uon, CAST(total AS VARCHAR) AS total FROM po_customer),
+b AS (SELECT id, CAST(CASE WHEN review_status = 'REVIEW' THEN qty + 1 ELSE qty END AS VARCHAR) AS qty, upper(uon) AS uon, CAST(total AS VARCHAR) AS total FROM po_customer WHERE exported_at IS NOT NULL),
 j AS (SELECT coalesce(a.id, b.id) AS id, a.id AS ai, b.id AS bi, a.qty AS aq, b.qty AS bq, a.uon AS au, b.uon AS bu, a.total AS atot, b.total AS btot FROM a FULL JOIN b ON a.id = b.id)
 SELECT id, 'row' AS field, CASE WHEN ai IS NOT NULL THEN 'x' END AS value_a, CASE WHEN bi IS NOT NULL THEN 'x' END AS value_b FROM j WHERE ai IS NULL OR bi IS NULL
 UNION ALL SELECT id, 'qty', aq, bq FROM j WHERE ai IS NOT NULL AND bi IS NOT NULL AND aq IS DISTINCT FROM bq
 UNION ALL SELECT id, 'uon', au, bu FROM j WHERE ai IS NOT NULL AND bi IS NOT NULL AND au IS DISTINCT FROM bu
 UNION ALL SELECT id, 'total', atot, btot FROM j WHERE ai IS NOT NULL AND bi IS NOT NULL AND atot IS DISTINCT FROM btot""")
 def cell_diff(spark: SparkSession, d: str) -> DataFrame:
-    """The table against an edited copy of itself, both without some rows."""
-    po = table(spark, d, "po_customer").select("id", *_CELLS)
-    edited = po.where("id % 4 <> 0").withColumn("qty", F.when(F.col("id") % 7 == 0, (F.col("qty") + 1).cast("decimal(16,4)")).otherwise(F.col("qty"))).withColumn("uon", F.upper("uon"))
-    return merge.cell_diff(po.where("id % 5 <> 0"), edited, "id", list(_CELLS))
+    """The table against what was exported of it, where reviewers changed quantities and units were tidied."""
+    po = table(spark, d, "po_customer")
+    edited = po.where("exported_at is not null").withColumn("qty", F.when(F.col("review_status") == "REVIEW", (F.col("qty") + 1).cast("decimal(16,4)")).otherwise(F.col("qty"))).withColumn("uon", F.upper("uon"))
+    return merge.cell_diff(po.select("id", *_CELLS), edited.select("id", *_CELLS), "id", list(_CELLS))
 
 
 @query("""WITH a AS (SELECT product_code, count(*) AS n FROM po_customer GROUP BY 1), b AS (SELECT kode_material AS product_code, count(*) AS n FROM faktur_penjualan GROUP BY 1)
@@ -298,16 +298,18 @@ def junk_name_filter(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- writes -------------------------------------------------------------------------------------------------
 
-_OLD = "old AS (SELECT id, document_id, natural_key, CAST(total AS DECIMAL(18,2)) AS total, updated_at, review_status FROM po_customer WHERE id % 3 <> 0)"
-_NEW = "new AS (SELECT id, document_id, natural_key, CAST(total + 1 AS DECIMAL(18,2)) AS total, updated_at, CAST(NULL AS VARCHAR) AS review_status FROM po_customer WHERE id % 2 = 0)"
+_OLD = "old AS (SELECT id, document_id, natural_key, CAST(total AS DECIMAL(18,2)) AS total, updated_at, review_status FROM po_customer)"
+_NEW = "new AS (SELECT id, document_id, natural_key, CAST(total + 1 AS DECIMAL(18,2)) AS total, updated_at, CAST(NULL AS VARCHAR) AS review_status FROM po_customer WHERE exported_at IS NULL OR updated_at > exported_at)"
 
 
 def _old(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "po_customer").where("id % 3 <> 0").select("id", "document_id", "natural_key", F.col("total").cast("decimal(18,2)").alias("total"), "updated_at", "review_status")
+    """The state of the whole table."""
+    return table(spark, d, "po_customer").select("id", "document_id", "natural_key", F.col("total").cast("decimal(18,2)").alias("total"), "updated_at", "review_status")
 
 
 def _new(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "po_customer").where("id % 2 = 0").select("id", "document_id", "natural_key", (F.col("total") + 1).cast("decimal(18,2)").alias("total"), "updated_at", F.lit(None).cast("string").alias("review_status"))
+    """What changed since it was exported, read again."""
+    return table(spark, d, "po_customer").where("exported_at is null or updated_at > exported_at").select("id", "document_id", "natural_key", (F.col("total") + 1).cast("decimal(18,2)").alias("total"), "updated_at", F.lit(None).cast("string").alias("review_status"))
 
 
 @query(f"WITH {_OLD}, {_NEW} SELECT id, total FROM old WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.document_id = old.document_id) UNION ALL SELECT id, total FROM new")
@@ -338,11 +340,11 @@ def unmap(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {TASKS}, t AS (SELECT document_id, CASE WHEN status IN ('pending', 'failed', 'claimed') THEN 'checked' ELSE tab END AS tab, status FROM tasks)
-SELECT document_id, tab, status FROM t UNION ALL SELECT 'new-' || CAST(doc_id AS VARCHAR), 'checked', 'pending' FROM documents WHERE doc_id % 10 = 0""")
+SELECT document_id, tab, status FROM t UNION ALL SELECT 'new-' || CAST(doc_id AS VARCHAR), 'checked', 'pending' FROM documents""")
 def queue_enqueue(spark: SparkSession, d: str) -> DataFrame:
     t = _tasks(spark, d)
     again = t.select("document_id", F.lit("checked").alias("tab"), F.lit("pending").alias("status"), F.lit(0).alias("attempts"))
-    more = table(spark, d, "documents").where("doc_id % 10 = 0").select(F.concat(F.lit("new-"), F.col("doc_id").cast("string")).alias("document_id"), F.lit("checked").alias("tab"), F.lit("pending").alias("status"), F.lit(0).alias("attempts"))
+    more = table(spark, d, "documents").select(F.concat(F.lit("new-"), F.col("doc_id").cast("string")).alias("document_id"), F.lit("checked").alias("tab"), F.lit("pending").alias("status"), F.lit(0).alias("attempts"))
     return merge.enqueue(t, again.unionByName(more), "document_id", "tab", "status").select("document_id", "tab", "status")
 
 
@@ -387,10 +389,13 @@ def kb_learn(spark: SparkSession, d: str) -> DataFrame:
     return learn.promote(_meaning(spark, d), ["product"], "meaning", 3, 0.6).select("product", "meaning", "n", "n_group")
 
 
-@query(f"""WITH {_MEANING}, {_PROMOTED} SELECT m.id, CASE WHEN m.id % 2 = 0 AND m.meaning = p.meaning THEN 'PASS-LEARNED' WHEN m.id % 2 = 0 THEN 'REVIEW' ELSE 'PASS' END AS status FROM m LEFT JOIN p USING (product)""")
+@query(f"""WITH {_MEANING}, {_PROMOTED}, o AS (SELECT id, contains(coalesce(mapping_status, ''), 'REVIEW') OR coalesce(review_status, 'REVIEW') = 'REVIEW' AS open FROM faktur_penjualan)
+SELECT m.id, CASE WHEN open AND m.meaning = p.meaning THEN 'PASS-LEARNED' WHEN open THEN 'REVIEW' ELSE 'PASS' END AS status FROM m JOIN o USING (id) LEFT JOIN p USING (product)""")
 def kb_apply(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that are open for review and read as their product mostly is pass as learned."""
     m = _meaning(spark, d)
-    rows = m.withColumn("status", F.when(F.col("id") % 2 == 0, "REVIEW").otherwise("PASS"))
+    open_ = F.coalesce(F.col("mapping_status"), F.lit("")).contains("REVIEW") | (F.coalesce("review_status", F.lit("REVIEW")) == "REVIEW")
+    rows = m.join(table(spark, d, "faktur_penjualan").select("id", open_.alias("open")), "id").withColumn("status", F.when(F.col("open"), "REVIEW").otherwise("PASS"))
     return learn.apply_learned(rows, learn.promote(m, ["product"], "meaning", 3, 0.6), ["product"], "meaning", "status", "REVIEW", "PASS-LEARNED").select("id", "status")
 
 
@@ -432,4 +437,4 @@ def tax_status(spark: SparkSession, d: str) -> DataFrame:
 
 
 def gated(spark: SparkSession, d: str) -> DataFrame:
-    return gates.line_gate(table(spark, d, "po_customer"), "qty", "unit_price", "discount", "total")
+    return gates.line_gate(table(spark, d, "po_customer"), "qty", "unit_price", "discount", "total", rate="ppn")

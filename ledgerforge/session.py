@@ -28,12 +28,12 @@ def local_session(cpus: int | str = 8, shuffle: int = 8, memory: str = "8g") ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir of the session.
 
-    Only where that is unset (tests, local runs) a local folder is used.
+    Only a local master, whose executors are this machine, may do without: tests and local runs use a local folder then.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = os.path.join(os.environ.get("LEDGERFORGE_CHECKPOINT", "/tmp/ledgerforge-checkpoint"))
-    return d
+    if not d and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return d or os.environ.get("LEDGERFORGE_CHECKPOINT", "/tmp/ledgerforge-checkpoint")
 
 
 def _cuts(spark: SparkSession) -> str:

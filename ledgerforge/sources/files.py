@@ -28,15 +28,13 @@ def scan_folder(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """
     f = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
     name = F.element_at(F.split("path", "/"), -1)
-    zipped = sniff_content(F.col("content")) == "application/zip"
-    known = F.when(~F.coalesce(zipped, F.lit(False)), sniff_content(F.col("content")))
-    return f.where(~name.startswith(".")).select("path", name.alias("filename"), F.sha2("content", 256).alias("sha256"), F.coalesce(known, mime_of(F.lit(None).cast("string"), name)).alias("mime"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"), "content")
+    return f.where(~name.startswith(".")).select("path", name.alias("filename"), F.sha2("content", 256).alias("sha256"), mime_of(F.lit(None).cast("string"), name, F.col("content")).alias("mime"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"), "content")
 
 
 def from_base64(uploads: DataFrame, name: str = "name", data: str = "data_b64", declared: str | None = None) -> DataFrame:
     """Uploaded files like scanned ones: path is the name; what can't be decoded has null content."""
     content = F.try_to_binary(F.col(data), F.lit("base64"))
-    mime = F.coalesce(sniff_content(F.col("content")), mime_of(F.col(declared) if declared else F.lit(None).cast("string"), F.col(name)))
+    mime = mime_of(F.col(declared) if declared else F.lit(None).cast("string"), F.col(name), F.col("content"))
     u = uploads.withColumn("content", content)
     return u.select(F.col(name).alias("path"), F.col(name).alias("filename"), F.sha2("content", 256).alias("sha256"), mime.alias("mime"), F.length("content").cast("bigint").alias("size"), F.current_timestamp().alias("modified"), "content")
 

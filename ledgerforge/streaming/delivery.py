@@ -30,10 +30,12 @@ class Delivery:
     status: str = "QUEUED"
     last_us: int = 0
 
-    def see(self, failed: bool, delivered: bool, at_us: int) -> None:
-        """One event: a failure counts an attempt, a success ends the task; an ended task stays as it is."""
+    def see(self, failed: bool, delivered: bool, at_us: int, sent: bool = False) -> None:
+        """One event: sending takes the task, a failure counts an attempt, a success ends the task; an ended task stays as it is."""
         if self.status in ("DELIVERED", "FAILED_PERMANENT"):
             return
+        if sent and not failed and not delivered:
+            self.status, self.last_us = "IN_FLIGHT", at_us
         if failed:
             self.attempts, self.last_us = self.attempts + 1, at_us
             self.status = "FAILED_PERMANENT" if self.attempts >= MOST_ATTEMPTS else "RETRY_WAIT"
@@ -45,23 +47,30 @@ class Delivery:
         return self.last_us + FIRST_WAIT * 2 ** (self.attempts - 1) * 1_000_000 if self.status == "RETRY_WAIT" else None
 
 
-def delivery_stream(events: DataFrame, task: str, failed: Column, delivered: Column, at: str, order: str, lease: str = "10 minutes") -> DataFrame:
-    """The changed tasks of each micro-batch. A task without news for ``lease`` that isn't ended goes back to QUEUED."""
+def delivery_stream(events: DataFrame, task: str, failed: Column, delivered: Column, at: str, order: str, sent: Column | None = None, lease: str = "10 minutes") -> DataFrame:
+    """The changed tasks of each micro-batch.
+
+    A task that waits for its next attempt goes back to QUEUED when that is due, by the clock of the stream: so many
+    seconds after its failure was seen. One that is IN_FLIGHT and has no news for ``lease`` goes back too. QUEUED and
+    ended tasks have no timer.
+    """
     lease_ms = int(pd.Timedelta(lease).total_seconds() * 1000)
-    # failed and delivered travel as one number each, so the state function needs no knowledge of the events
-    src = events.select(F.col(task).cast("bigint").alias("task"), F.coalesce(failed, F.lit(False)).cast("int").alias("failed"), F.coalesce(delivered, F.lit(False)).cast("int").alias("delivered"), F.unix_micros(F.col(at).cast("timestamp")).alias("us"), F.col(order).alias("ord"))
+    # what an event says travels as numbers, so the state function needs no knowledge of the events
+    flag = lambda c: F.coalesce(c, F.lit(False)).cast("int")
+    src = events.select(F.col(task).cast("bigint").alias("task"), flag(failed).alias("failed"), flag(delivered).alias("delivered"), flag(sent if sent is not None else F.lit(False)).alias("sent"), F.unix_micros(F.col(at).cast("timestamp")).alias("us"), F.col(order).alias("ord"))
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         d = Delivery(*state.get) if state.exists else Delivery()
         if state.hasTimedOut:
             d.status = "QUEUED"
-            state.update((d.attempts, d.status, d.last_us))
         else:
             for pdf in batches:
                 for r in pdf.sort_values(["us", "ord"]).itertuples():
-                    d.see(bool(r.failed), bool(r.delivered), int(r.us))
-            state.update((d.attempts, d.status, d.last_us))
-        if d.status in ("RETRY_WAIT", "QUEUED"):
+                    d.see(bool(r.failed), bool(r.delivered), int(r.us), bool(r.sent))
+        state.update((d.attempts, d.status, d.last_us))
+        if d.status == "RETRY_WAIT":
+            state.setTimeoutDuration(FIRST_WAIT * 2 ** (d.attempts - 1) * 1000)
+        elif d.status == "IN_FLIGHT":
             state.setTimeoutDuration(lease_ms)
         yield pd.DataFrame({"task": [key[0]], "status": [d.status], "attempts": [d.attempts], "next_attempt_us": pd.array([d.next_us], dtype="Int64")})
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,11 +25,14 @@ def once_by_content(stream: DataFrame, content: str, at: str, late: str = "1 day
 def merge_into(stream: DataFrame, store: Store, step: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Each batch makes a new version of the store out of the last one; a batch that is run again changes nothing.
 
-    every: trigger interval; without it the query takes what there is and ends.
+    Batches count under the id of the query, which lives in its checkpoint: another stream, or the same one with a fresh
+    checkpoint, has its own count, and what it reads is merged, not skipped. every: trigger interval; without it the query
+    takes what there is and ends.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        store.commit(lambda old: step(old, batch), tag=f"batch-{number}")
+        query = json.loads(store._text(f"{checkpoint.rstrip('/')}/metadata"))["id"]
+        store.commit(lambda old: step(old, batch), stream=query, batch=number)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()

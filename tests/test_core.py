@@ -99,9 +99,9 @@ def test_gate_mutation(spark):
     """A true line passes, the same line with one digit changed doesn't, a missing operand says so."""
     from decimal import Decimal as D
 
-    rows = [(D(3), D(1000), D(0), D(3000)), (D(3), D(1000), None, D(3330)), (D(3), D(1000), D(0), D(8000)), (None, D(1), D(0), D(1))]
-    df = spark.createDataFrame(rows, "q decimal(16,4), p decimal(16,4), d decimal(16,2), t decimal(16,2)")
-    assert [r.gate for r in gates.line_gate(df, "q", "p", "d", "t").collect()] == ["OK", "GROSS-11", "REVIEW-ARITH", "VERIFY"]
+    rows = [(D(3), D(1000), D(0), D(3000), None), (D(3), D(1000), None, D(3330), "11%"), (D(3), D(1000), None, D(3330), "1.1%"), (D(3), D(1000), None, D(3033), "1.1%"), (D(3), D(1000), None, D(3330), None), (D(3), D(1000), D(0), D(8000), "11%"), (None, D(1), D(0), D(1), None)]
+    df = spark.createDataFrame(rows, "q decimal(16,4), p decimal(16,4), d decimal(16,2), t decimal(16,2), r string")
+    assert [x.gate for x in gates.line_gate(df, "q", "p", "d", "t", rate="r").collect()] == ["OK", "GROSS-11", "REVIEW-ARITH", "OK", "REVIEW-ARITH", "REVIEW-ARITH", "VERIFY"]  # 1.1 % lies within the tolerance
 
 
 def test_asof_uses_range_not_rows(spark):
@@ -247,6 +247,13 @@ def test_children_and_envelope(spark, sf):
     assert all(s["schema_version"] == "1" and len(s["task_id"]) == 32 for s in sent) and len({s["task_id"] for s in sent}) == 5
 
 
+def test_declared_types_come_first(spark):
+    from ledgerforge.functions.text import mime_of
+
+    df = spark.createDataFrame([("application/pdf", "a.txt", b"\x89PNG\r\n\x1a\n0000"), (None, "a.txt", b"\x89PNG\r\n\x1a\n0000"), ("x/y", "a.txt", b"hi"), (None, "a.xlsx", b"PK\x03\x04"), (None, None, None)], "d string, n string, c binary")
+    assert [r[0] for r in df.select(mime_of(F.col("d"), F.col("n"), F.col("c"))).collect()] == ["application/pdf", "image/png", "text/plain", files.XLSX, "application/octet-stream"]
+
+
 def test_uploads(spark):
     import base64
 
@@ -346,6 +353,28 @@ def test_store_versions(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "json" / "t")).count() == 2
 
 
+def test_a_store_survives_a_crash_and_another_stream(spark, tmp_path, monkeypatch):
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.IntegerType())])
+    s = Store(spark, str(tmp_path / "s"), schema)
+    row = lambda k: spark.createDataFrame([(k, 1)], schema)
+    for i in range(5):
+        s.commit(lambda old: old.unionByName(row(f"k{i}")), stream="one", batch=i)
+    assert len(s.versions()) == Store.KEPT
+    # it stops after the data is written, before the pointer stands: readers see the version before, the next commit follows it
+    with monkeypatch.context() as m:
+        m.setattr(s, "_point", lambda to: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError):
+            s.commit(lambda old: old.unionByName(row("lost")), stream="one", batch=5)
+    assert s.read().count() == 5
+    assert s.commit(lambda old: old.unionByName(row("k5")), stream="one", batch=5) == 6 and s.read().count() == 6
+    s.commit(lambda old: old.unionByName(row("again")), stream="one", batch=2)  # long in
+    s.commit(lambda old: old.unionByName(row("other")), stream="two", batch=0)  # another stream begins at 0
+    assert sorted(r.k for r in s.read().collect()) == [*(f"k{i}" for i in range(6)), "other"]
+    # two writers of one version: the second raises
+    with pytest.raises(RuntimeError, match="another writer"):
+        s._point({"version": 7, "tags": [], "streams": {}})
+
+
 def test_cuts_are_read_back_and_deleted(spark):
     import glob
 
@@ -358,6 +387,18 @@ def test_cuts_are_read_back_and_deleted(spark):
     assert not glob.glob(f"{c._cut_path}*")
 
 
+def test_a_task_in_flight():
+    d = Delivery()
+    d.see(False, False, 5, sent=True)
+    assert (d.status, d.next_us) == ("IN_FLIGHT", None)
+    d.see(True, False, 7)
+    assert (d.status, d.attempts, d.next_us) == ("RETRY_WAIT", 1, 7 + 5_000_000)
+    d.see(False, False, 9, sent=True)
+    d.see(False, True, 11)
+    d.see(False, False, 12, sent=True)
+    assert (d.status, d.attempts) == ("DELIVERED", 1)
+
+
 def test_delivery_rules():
     d = Delivery()
     d.see(True, False, 0)

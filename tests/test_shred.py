@@ -1,11 +1,12 @@
 import json
 
 import pandas as pd
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerforge.operators.shred import LONE_KEYS, decode, shred_batch, shred_column, shred_json
+from ledgerforge.operators.shred import LONE_KEYS, _deep, decode, shred_batch, shred_column, shred_json
 
 
 def plain(value, lone):
@@ -51,6 +52,34 @@ def test_fields_stand_with_their_object():
     assert list(got.table_path[["line_items[0]", "line_items[0].taxes[0]"]]) == ["line_items", "line_items.taxes"]
 
 
+def test_root_and_lists_of_values():
+    """What stands above all lists is the record's own row, and a list of values comes back as it was."""
+    v = {"no": 7, "head": {"name": "A"}, "tags": ["x\x1fy", "z"], "items": [{"codes": [1, None, 3], "n": {"deep": ["q"]}}], "empty": []}
+    got = shred_batch([(9, v)], frozenset(), True, True).set_index("path")
+    assert got.fields[""] == {"no": "7", "head.name": "A", "tags": json.dumps(["x\x1fy", "z"])}
+    assert got.table_path[""] == "" and got.parent_path[""] == ""
+    assert got.fields["items[0]"] == {"codes": "[1, 3]", "n.deep": '["q"]'}
+    both = shred_batch([(1, {"tags": ["x\x1fy", "z"]}), (2, {"tags": ["x", "y", "z"]}), (3, [1])], frozenset(), True, True).set_index("record_id").fields
+    assert json.loads(both[1]["tags"]) == ["x\x1fy", "z"] and json.loads(both[2]["tags"]) == ["x", "y", "z"] and 3 not in both.index
+
+
+def test_a_record_may_be_deep(spark):
+    deep = '{"a":' * 3000 + '{"pages":[{"t":1}]}' + "}" * 3000
+    lists = "[" * 3000 + '{"t":"x"}' + "]" * 3000
+    got = {(r.record_id, len(r.path), r.fields["t"]) for r in shred_json(spark.createDataFrame([(1, deep), (2, lists)], "id bigint, j string"), "id", "j").collect()}
+    assert got == {(1, 3000 * 2 + len("pages[0]"), "1"), (2, 9000, "x")}
+
+
+@settings(max_examples=300, deadline=None)
+@given(tree)
+def test_deep_reading_is_reading(value):
+    text = json.dumps(value)
+    assert _deep(text) == value
+    for broken in (text + ",", "[" + text, text + "]", '{"a"' + text + "}", "[" + text + ",]", "[," + text + "]", '{"a":}', "[1 2]", ""):
+        with pytest.raises(ValueError):
+            _deep(broken)
+
+
 def test_damaged_blank_and_twice_encoded():
     assert decode(None) is None and decode("") is None and decode('{"a":[{') is None
     assert decode(json.dumps(json.dumps({"a": 1}))) == {"a": 1}
