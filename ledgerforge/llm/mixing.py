@@ -33,20 +33,29 @@ BITS, ROUNDS = 8, 7
 
 #: Where the public tokenizer's vocabulary lies; a parameter of ``token_sizes``.
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+#: The largest vocabulary file that is sent to every executor.
+MOST_VOCABULARY = 64 << 20
 #: Fixed value: the splitting pattern of byte-level BPE vocabularies of 50k entries.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def token_sizes(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN, seed: int = 42) -> DataFrame:
-    """(doc_id, source, n_tokens, h): tokens of each text, and its hash of 56 bits."""
+    """(doc_id, source, n_tokens, h): tokens of each text, and its hash of 56 bits.
+
+    vocabulary: a path on the driver; the file, of ``MOST_VOCABULARY`` bytes at most, travels to the executors.
+    """
     made: list = []
+    with open(vocabulary, "rb") as f:
+        body = f.read(MOST_VOCABULARY + 1)
+    if len(body) > MOST_VOCABULARY:
+        raise ValueError(f"a vocabulary of more than {MOST_VOCABULARY} bytes")
+    sent = docs.sparkSession.sparkContext.broadcast(body)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if not made:
             import tiktoken
 
-            with open(vocabulary, "rb") as f:
-                ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+            ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in sent.value.splitlines() if line.strip())}
             made.append(tiktoken.Encoding("mixing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}))
         enc = made[0]
         for pdf in batches:
@@ -77,14 +86,18 @@ def largest_budget(tokens: dict[str, int], shares: dict[str, float], caps: dict[
 
 
 def plan_mix(sizes: DataFrame, targets: list[tuple[str, float, int]], parts: tuple[float, ...] = (1.0,)) -> list[Plan]:
-    """Thresholds of nested budgets: the given parts of the largest budget. ``sizes`` is read once a round."""
+    """Thresholds of nested budgets: the given parts of the largest budget. ``sizes`` is read once a round.
+
+    A source that may be drawn 0 times, or has no documents, is left out and its share falls to the others; without a
+    cap a source is drawn once.
+    """
     if len(targets) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
     shares = {s: float(w) for s, w, _ in targets if s is not None and w is not None and w > 0}
-    caps = {s: max(int(c or 1), 1) for s, w, c in targets if s in shares}
+    caps = {s: 1 if c is None else max(int(c), 0) for s, w, c in targets if s in shares}
     wanted = F.col("source").isin(list(shares)) & (F.col("n_tokens") > 0)
     own = sizes.where(wanted)
-    tokens = {r[0]: int(r[1]) for r in own.groupBy("source").agg(F.sum("n_tokens")).collect()} if shares else {}
+    tokens = {r[0]: int(r[1]) for r in own.groupBy("source").agg(F.sum("n_tokens")).collect() if caps[r[0]]} if shares else {}
     most = largest_budget(tokens, shares, caps)
     total = sum(w for s, w in shares.items() if tokens.get(s))
     plans = []
