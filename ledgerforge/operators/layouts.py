@@ -179,33 +179,33 @@ def parse_layouts(pages: DataFrame, keys: list[str], layouts: tuple[Layout, ...]
     p = pages.where(F.col(text).isNotNull()).select(*keys, F.col(text).alias("_page"), own.alias("_class"), page_lines(F.col(text)).alias("_l"))
     two = F.expr("transform(_l, (x, i) -> named_struct('n', x.n, 's', x.s, 'two', concat(x.s, chr(10), coalesce(get(_l, i + 1).s, ''))))")
     p = p.select(*keys, "_page", "_class", two.alias("_lines"))
-    rows = p.select(*keys, F.explode(match_layouts(layouts)).alias("r"))
+    rows = p.select(*keys, F.explode(match_layouts(layouts)).alias("_r"))
     # letters of several lines are one name; lines of digits inside it are codes of other columns
-    name = F.regexp_replace("r.name", r"(?:^|\n)\d+(?=\n|$)", " ")
-    name = F.concat_ws(" ", F.nullif(F.trim(F.regexp_replace(name, r"\s+", " ")), F.lit("")), F.col("r.name2"))
-    found = F.regexp_extract_all(F.regexp_replace("r.tail", r"[\d.,]+%", " "), F.lit(r"((?<![\w.,])-?\d[\d.,]*(?![\w.,]))"), 1)
+    name = F.regexp_replace("_r.name", r"(?:^|\n)\d+(?=\n|$)", " ")
+    name = F.concat_ws(" ", F.nullif(F.trim(F.regexp_replace(name, r"\s+", " ")), F.lit("")), F.col("_r.name2"))
+    found = F.regexp_extract_all(F.regexp_replace("_r.tail", r"[\d.,]+%", " "), F.lit(r"((?<![\w.,])-?\d[\d.,]*(?![\w.,]))"), 1)
     cents = F.filter(found, lambda x: x.rlike(r"\d[.,]\d{2}$"))
-    found = F.when(F.col("r.proof") == "ends", F.when(F.size(cents) > 0, cents).otherwise(F.filter(found, lambda x: x.rlike(r"[.,]\d{3}$")))).otherwise(found)
+    found = F.when(F.col("_r.proof") == "ends", F.when(F.size(cents) > 0, cents).otherwise(F.filter(found, lambda x: x.rlike(r"[.,]\d{3}$")))).otherwise(found)
     nums = F.filter(F.transform(F.filter(found, lambda x: ~x.rlike(r"^\d{9,}$")), lambda x: parse_money(F.rtrim(x, F.lit(".,")))), lambda x: x.isNotNull())
     typed = rows.select(
-        *keys, "r", nums.alias("_n"), F.coalesce("r.code", "r.code2").alias("code"), F.nullif(name, F.lit("")).alias("name"), F.col("r.unit").alias("unit"),
-        _qty(F.coalesce("r.qty", "r.qty2", "r.qty3")).alias("q"), parse_money(F.col("r.price")).alias("p"), parse_money(F.col("r.discount")).alias("d"), parse_money(F.col("r.total")).alias("t"),
-        parse_money(F.col("r.tax")).alias("tax"), parse_money(F.col("r.pack")).alias("pack"),
+        *keys, "_r", nums.alias("_n"), F.coalesce("_r.code", "_r.code2").alias("_code"), F.nullif(name, F.lit("")).alias("_name"), F.col("_r.unit").alias("_unit"),
+        _qty(F.coalesce("_r.qty", "_r.qty2", "_r.qty3")).alias("_q"), parse_money(F.col("_r.price")).alias("_p"), parse_money(F.col("_r.discount")).alias("_d"), parse_money(F.col("_r.total")).alias("_t"),
+        parse_money(F.col("_r.tax")).alias("_tax"), parse_money(F.col("_r.pack")).alias("_pack"),
     )
-    proof, n = F.col("r.proof"), F.col("_n")
-    q, p_, d, t = (F.col(c) for c in "qpdt")
+    proof, n = F.col("_r.proof"), F.col("_n")
+    q, p_, d, t = (F.col(f"_{c}") for c in "qpdt")
     last = lambda k: F.get(n, F.size(n) - k)
     times = lambda a, b: (a * b).cast("decimal(28,4)")
     close = F.get(F.filter(n, lambda v: (v != F.array_max(n)) & _near((times(q, p_) - v).cast("decimal(28,4)"), F.array_max(n), "0.03")), F.lit(0))
     swapped = (proof == "swap") & F.coalesce(~_near(times(q, p_), t, "0.02") & _near(times(q, d), t, "0.02"), F.lit(False))
-    computed = times(q, F.col("pack")).cast("decimal(18,4)")
+    computed = times(q, F.col("_pack")).cast("decimal(18,4)")
     picked = F.when(F.coalesce(_near(times(q, last(3)), last(1), "0.02"), F.lit(False)), last(3)).otherwise(last(2))
     price = F.when(proof == "pick", picked).when(proof == "ends", F.when(F.size(n) > 1, F.get(n, F.lit(0)))).when(swapped, d).otherwise(p_)
     discount = F.when(proof == "close", F.coalesce(close, F.lit(0).cast("decimal(18,4)"))).when(swapped, p_).otherwise(d)
     total = F.when(proof.isin("pick", "ends"), last(1)).when(proof == "close", F.array_max(n)).when(proof == "computed", times(computed, p_).cast("decimal(18,4)")).otherwise(t)
     return typed.select(
-        *keys, F.col("r.n").alias("line_no"), F.col("r.layout").alias("layout"), "code", "name", F.when(proof == "computed", computed).otherwise(q).alias("qty"),
-        F.when(proof == "computed", "PCS").otherwise(F.col("unit")).alias("unit"), price.alias("price"), discount.alias("discount"), F.trim("r.rates").alias("rates"), "tax", total.alias("total"),
+        *keys, F.col("_r.n").alias("line_no"), F.col("_r.layout").alias("layout"), F.col("_code").alias("code"), F.col("_name").alias("name"), F.when(proof == "computed", computed).otherwise(q).alias("qty"),
+        F.when(proof == "computed", "PCS").otherwise(F.col("_unit")).alias("unit"), price.alias("price"), discount.alias("discount"), F.trim("_r.rates").alias("rates"), F.col("_tax").alias("tax"), total.alias("total"),
     )
 
 

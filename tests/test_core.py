@@ -14,14 +14,15 @@ from ledgerforge.functions.money import format_id, parse_money
 from ledgerforge.functions.status import add_tag
 from ledgerforge.functions.text import page_text, sniff_content
 from ledgerforge.operators import audit, blocks, external, gates, learn, lines, merge, windows, layouts
-from ledgerforge.plans import catalogue, generic
+from ledgerforge.plans import catalogue, generic, printed
 from ledgerforge.plans.pipeline import map_documents
 from ledgerforge.sources import files
 from ledgerforge.sources.store import Store, dump_json, export_csv
 from ledgerforge.streaming import watch
 from ledgerforge.streaming.delivery import Delivery, delivery_batch, delivery_stream
 
-CORE = sorted(catalogue.QUERIES)
+PRINTED = {f"layout_{n.replace('-', '_')}": n for n in printed.PRINTS}
+CORE = sorted(set(catalogue.QUERIES) - set(PRINTED))
 
 
 @pytest.fixture(scope="module")
@@ -58,6 +59,17 @@ def test_query_against_sql(spark, sf, con, name):
         assert table(got) == table(want)
 
 
+def test_printed_layouts_against_sql(spark, sf, con):
+    """Every layout in one run: the pages of all prints, read once."""
+    pages = None
+    for name, layout in PRINTED.items():
+        p = printed.printed(spark, sf, printed.PRINTS[layout]).withColumn("q", F.lit(name))
+        pages = p if pages is None else pages.unionByName(p)
+    got = layouts.parse_layouts(pages, ["q", "doc"]).select("q", "doc", "layout", "code", "name", "qty", "unit", "price", "discount", "total").toPandas()
+    for name in PRINTED:
+        assert table(got[got.q == name].drop(columns="q")) == table(con.sql(catalogue.SQL[name]).df()), name
+
+
 def test_objects_against_sql(spark, sf, con):
     got = generic.QUERIES["p4_found"](spark, sf).toPandas()
     assert table(got) == table(con.sql(generic.SQL["p4_found"]).df()) and len(got) > 100
