@@ -170,16 +170,27 @@ def page_lines(text: Column) -> Column:
     return F.filter(numbered, lambda x: x["s"] != "")
 
 
+def _prepared(pages: DataFrame, keys: list[str], text: str, kind: str | None) -> DataFrame:
+    """keys, _page, _class and _lines of the pages that have a text."""
+    own = F.col(kind) if kind else page_class(F.col(text))
+    p = pages.where(F.col(text).isNotNull()).select(*keys, F.col(text).alias("_page"), own.alias("_class"), page_lines(F.col(text)).alias("_l"))
+    two = F.expr("transform(_l, (x, i) -> named_struct('n', x.n, 's', x.s, 'two', concat(x.s, chr(10), coalesce(get(_l, i + 1).s, ''))))")
+    return p.select(*keys, "_page", "_class", two.alias("_lines"))
+
+
+def unread_lines(pages: DataFrame, keys: list[str], layouts: tuple[Layout, ...] = LAYOUTS, text: str = "text", kind: str | None = None) -> DataFrame:
+    """keys, line_no, line of the pages that no layout reads."""
+    # an outer explode, as a filter would be pushed below what it reads and evaluate that once for every rule
+    p = _prepared(pages, keys, text, kind).select(*keys, "_lines", F.explode_outer(match_layouts(layouts)).alias("_r")).where("_r is null")
+    return p.select(*keys, F.explode("_lines").alias("_x")).select(*keys, F.col("_x.n").alias("line_no"), F.col("_x.s").alias("line"))
+
+
 def parse_layouts(pages: DataFrame, keys: list[str], layouts: tuple[Layout, ...] = LAYOUTS, text: str = "text", kind: str | None = None) -> DataFrame:
     """Rows of all pages: keys, line_no of the row's first line, layout, code, name, qty, unit, price, discount, rates, tax, total.
 
     kind: a column with the class of the page; without it the page's own text tells.
     """
-    own = F.col(kind) if kind else page_class(F.col(text))
-    p = pages.where(F.col(text).isNotNull()).select(*keys, F.col(text).alias("_page"), own.alias("_class"), page_lines(F.col(text)).alias("_l"))
-    two = F.expr("transform(_l, (x, i) -> named_struct('n', x.n, 's', x.s, 'two', concat(x.s, chr(10), coalesce(get(_l, i + 1).s, ''))))")
-    p = p.select(*keys, "_page", "_class", two.alias("_lines"))
-    rows = p.select(*keys, F.explode(match_layouts(layouts)).alias("_r"))
+    rows = _prepared(pages, keys, text, kind).select(*keys, F.explode(match_layouts(layouts)).alias("_r"))
     # letters of several lines are one name; lines of digits inside it are codes of other columns
     name = F.regexp_replace("_r.name", r"(?:^|\n)\d+(?=\n|$)", " ")
     name = F.concat_ws(" ", F.nullif(F.trim(F.regexp_replace(name, r"\s+", " ")), F.lit("")), F.col("_r.name2"))

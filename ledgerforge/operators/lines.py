@@ -112,6 +112,8 @@ def tokenize_items(lines: DataFrame, keys: list[str], line: str = "line", once:
         for pdf in batches:
             got = [read_item(x) for x in pdf["_line"]]
             keep = [i for i, g in enumerate(got) if g]
+            if not keep:
+                continue
             out = pdf.iloc[keep][keys].reset_index(drop=True)
             for j, c in enumerate(("code", "name", "qty", "price", "total")):
                 out[c] = [got[i][j] for i in keep]
@@ -148,6 +150,8 @@ def glued_rows(df: DataFrame, key: str, text: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             got = [(k, *g) for k, g in zip(pdf["_k"], map(split_glued, pdf["_t"])) if g]
+            if not got:
+                continue
             yield pd.DataFrame(got, columns=["_k", "name", "qty", "price", "total"])
 
     return df.select(F.col(key).alias("_k"), F.col(text).alias("_t")).mapInPandas(run, f"_k {kind}, name string, qty double, price double, total double").withColumnRenamed("_k", key)

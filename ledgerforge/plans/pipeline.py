@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from ledgerforge.functions.text import CERTAIN_CLASSES, page_class
 from ledgerforge.operators.blocks import invoice_lines, tax_invoice_items
 from ledgerforge.operators.gates import line_gate
-from ledgerforge.operators.layouts import LAYOUTS, Layout, parse_layouts
-from ledgerforge.operators.lines import explode_lines, pages_or_text, tokenize_items
+from ledgerforge.operators.layouts import LAYOUTS, Layout, parse_layouts, unread_lines
+from ledgerforge.operators.lines import pages_or_text, tokenize_items
 
 RECEIPTS = ("REC_NOTE", "RECEIPT", "SLIP_MARIMARI", "GRN_DFI", "RJ_TIPTOP", "RJ_BUDI", "BPB", "RJ_MEMO", "GR_SLIP", "GR_BOOTS")
 #: Which classes' rows go to which tab.
@@ -41,7 +41,9 @@ def map_pages(pages: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFr
     classed = classed_pages(pages)
     sales = invoice_lines(classed.where("class = 'FAKTUR_PENJUALAN'"), keys)
     cuts = sum((F.coalesce(F.col(f"disc_{i}"), F.lit(0)) for i in range(2, 6)), F.coalesce(F.col("disc_1"), F.lit(0)))
-    free = tokenize_items(explode_lines(classed.where("class <> 'OTHER'"), keys).select(*keys, "line_no", "line"), [*keys, "line_no"], once=False)
+    # the free tokenizer is Python: it gets the lines that nothing else reads
+    rest = unread_lines(classed.where("class <> 'OTHER'"), keys, layouts, kind="class")
+    free = tokenize_items(rest, [*keys, "line_no"], once=False)
     parsed = (
         (None, parse_layouts(classed, keys, layouts, kind="class")),
         ("sales-invoice", sales.withColumn("qty", F.when(F.col("cartons") == 0, F.col("pieces"))).withColumn("discount", cuts).withColumnRenamed("amount", "total")),
