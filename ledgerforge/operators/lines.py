@@ -143,8 +143,14 @@ def split_glued(text: str | None) -> tuple[str, float, float, float] | None:
     return None
 
 
-def glued_rows(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, name, qty, price, total) of rows whose text holds a whole glued row."""
+def glued_rows(df: DataFrame, key: str, text: str, blank: list[str] | None = None) -> DataFrame:
+    """(key, code, name, qty, price, total, tag) of rows whose text holds a whole glued row; tag is SPLIT-GLUED.
+
+    A leading code of 6 to 14 digits is peeled off the name, else code is null. blank: columns that must be null or blank,
+    so that what is already read is never overwritten.
+    """
+    for c in blank or []:
+        df = df.where(F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) == "")
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -154,7 +160,10 @@ def glued_rows(df: DataFrame, key: str, text: str) -> DataFrame:
                 continue
             yield pd.DataFrame(got, columns=["_k", "name", "qty", "price", "total"])
 
-    return df.select(F.col(key).alias("_k"), F.col(text).alias("_t")).mapInPandas(run, f"_k {kind}, name string, qty double, price double, total double").withColumnRenamed("_k", key)
+    got = df.select(F.col(key).alias("_k"), F.col(text).alias("_t")).mapInPandas(run, f"_k {kind}, name string, qty double, price double, total double")
+    coded = r"^(\d{6,14}) (.+)$"
+    part = lambda i: F.nullif(F.regexp_extract("name", coded, i), F.lit(""))
+    return got.select(F.col("_k").alias(key), part(1).alias("code"), F.coalesce(part(2), "name").alias("name"), "qty", "price", "total", F.lit("SPLIT-GLUED").alias("tag"))
 
 
 def concat_pages(pages: DataFrame, doc: str, page: str = "page", text: str = "text", sep: str = "\n") -> DataFrame:

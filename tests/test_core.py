@@ -283,6 +283,12 @@ def test_tokenizer_and_glued():
     assert lines.split_glued("SISIR BLACK") is None and lines.split_glued(None) is None
 
 
+def test_glued_rows(spark):
+    rows = [(1, "1001234 SISIR BLACK 3 CTN 1000 3000", None), (2, "SISIR 3 CTN 1000 3000", " "), (3, "SISIR 3 CTN 1000 3000", "7"), (4, "SISIR", None), (5, None, None)]
+    got = lines.glued_rows(spark.createDataFrame(rows, "id int, name string, total string"), "id", "name", ["total"]).orderBy("id").collect()
+    assert [(r.id, r.code, r.name, r.qty, r.price, r.total, r.tag) for r in got] == [(1, "1001234", "SISIR BLACK", 3, 1000, 3000, "SPLIT-GLUED"), (2, None, "SISIR", 3, 1000, 3000, "SPLIT-GLUED")]
+
+
 def test_pipeline_tabs(spark, sf):
     tabs = map_documents(spark.read.parquet(f"{sf}/documents.parquet"))
     assert set(tabs) == {"po_customer", "faktur_penjualan", "faktur_pajak", "tanda_terima", "review"}
