@@ -188,6 +188,13 @@ def test_hot_source_and_report(spark, sf):
     assert (mix.n_tokens * mix.repeats).sum() == full.drawn_tokens.sum() and not mix.doc_id.duplicated().any()
 
 
+def test_a_source_that_may_not_be_drawn(spark):
+    sizes = spark.createDataFrame([(i, "ab"[i % 2], 10, i << 40) for i in range(100)], "doc_id bigint, source string, n_tokens bigint, h bigint")
+    plan = mixing.plan_mix(sizes, [("a", 0.5, 0), ("b", 0.3, 2), ("c", 0.2, None)])[0]
+    drawn = mixing.draw(sizes, plan).collect()
+    assert {r.source for r in drawn} == {"b"} and sum(r.repeats for r in drawn) == 100
+
+
 # ---- toxic --------------------------------------------------------------------------------------------------
 
 
